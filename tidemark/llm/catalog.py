@@ -3,11 +3,17 @@
 from __future__ import annotations
 
 from tidemark.llm.bpe import op6_bpe
+from tidemark.llm.chat import op4_chat
+from tidemark.llm.fingerprints import op9_fingerprints
+from tidemark.llm.licenses import op10_licenses
 from tidemark.llm.packing import op8_packing
 
 QUERIES = {
+    "op4_chat": op4_chat,
     "op6_bpe": op6_bpe,
     "op8_packing": op8_packing,
+    "op9_fingerprints": op9_fingerprints,
+    "op10_licenses": op10_licenses,
 }
 
 ORACLES: dict[str, str] = {}
