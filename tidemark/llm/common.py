@@ -6,6 +6,7 @@ import os
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,6 +15,14 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 
+def reach(df: DataFrame) -> DataFrame:
+    """df, after telling Python workers where this package lies, for sessions that were not started from its folder."""
+    env, root = df.sparkSession.sparkContext.environment, str(Path(__file__).resolve().parents[2])
+    if root not in env.get("PYTHONPATH", "").split(os.pathsep):
+        env["PYTHONPATH"] = os.pathsep.join(filter(None, [root, env.get("PYTHONPATH")]))
+    return df
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -75,7 +84,7 @@ def append(df: DataFrame, text_col: str, fields: list[T.StructField], make: Call
                 else:
                     yield part.filter(pa.array(keep(columns), type=pa.bool_()))
 
-    return df.mapInArrow(run, schema)
+    return reach(df).mapInArrow(run, schema)
 
 
 def components(edges: DataFrame, rounds: int = 60) -> DataFrame:

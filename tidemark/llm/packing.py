@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.bpe import byte_letters
-from tidemark.llm.common import checkpoint, one_thread, table
+from tidemark.llm.common import checkpoint, one_thread, reach, table
 
 SHARD = 50_000
 CACHE = 600_000
@@ -118,7 +118,7 @@ def pieces(df: DataFrame, path: str, capacity: int = 2048, end_id: int = 0, id_c
                         out.append((rid, doc, k, start // 4, len(cut) // 4, zlib.crc32(cut)))
                 yield pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, t in zip(zip(*out), (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()), strict=True)], names=["rid", "doc_id", "piece", "start", "length", "ids_crc32"])
 
-    return df.select(F.monotonically_increasing_id().alias("rid"), F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, PIECES)
+    return reach(df).select(F.monotonically_increasing_id().alias("rid"), F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, PIECES)
 
 
 def sum_of_squares(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
@@ -184,3 +184,10 @@ def op8_packing(spark: SparkSession, sf_dir: str, path: str | None = None, capac
         path = public_tokenizers.path("word_bpe_49k.json")
     cut = checkpoint(pieces(table(spark, sf_dir, "documents"), path, capacity))
     return pack(cut, capacity).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
+def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents that come in, packed."""
+    import public_tokenizers
+
+    return pack(checkpoint(pieces(docs, public_tokenizers.path("word_bpe_49k.json")))).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
