@@ -21,6 +21,7 @@ TAKE = 2
 #: Positions take the low bits of a packed number, hashes the rest, so that plain longs can be sorted.
 PLACE = 24
 EMPTY = "." * 8
+NO_ID = -(2**63)
 
 
 def fingerprint(df: DataFrame, text_col: str, name: str) -> DataFrame:
@@ -95,15 +96,17 @@ def edited(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     their texts; rows equal in id and text share one place and one result each. A table of one row is its own
     next document; an empty one gives an empty one. Other columns of the input are not carried.
     """
-    base = df.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    base = base.withColumn("kid", F.coalesce("doc_id", F.lit(-(2**63)))).withColumn("th", F.xxhash64("text")).withColumn("n_chars", F.char_length("text").cast("long"))
-    keys = checkpoint(base.select("kid", "th", "n_chars").distinct())
+    base = df.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("kid"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    base = base.withColumn("th", F.xxhash64("text"))
+    keys = checkpoint(base.select("kid", "th", F.char_length("text").cast("long").alias("n_chars")).distinct())
     need = keys.join(neighbours(keys.select("kid", "th")), ["kid", "th"]).select(F.col("kid").alias("to_kid"), F.col("th").alias("to_th"), F.floor(F.col("n_chars") / 3).cast("int").alias("need"), F.col("next_kid").alias("kid"), F.col("next_th").alias("th"))
+    # both joins below read the same columns of this exchange, so that it is made once
     base = fingerprint(base, "text", "fingerprint").repartition("kid", "th")
     given = base.join(need.hint("merge"), ["kid", "th"]).select("to_kid", "to_th", F.expr("substring(text, 1, need)").alias("start"), F.col("fingerprint").alias("next_fingerprint"))
     given = given.groupBy(F.col("to_kid").alias("kid"), F.col("to_th").alias("th")).agg(F.first("start").alias("start"), F.first("next_fingerprint").alias("next_fingerprint"))
-    both = base.join(given.hint("merge"), ["kid", "th"]).withColumn("edited", F.expr("concat(substring(text, 1, cast(n_chars - n_chars div 3 AS int)), start)"))
-    both = fingerprint(both.select("doc_id", "n_chars", "edited", "fingerprint", "next_fingerprint"), "edited", "edited_fingerprint")
+    both = base.join(given.hint("merge"), ["kid", "th"]).withColumn("n_chars", F.char_length("text").cast("long"))
+    both = both.withColumn("edited", F.expr("concat(substring(text, 1, cast(n_chars - n_chars div 3 AS int)), start)"))
+    both = fingerprint(both.select(F.when(F.col("kid") != NO_ID, F.col("kid")).alias("doc_id"), "n_chars", "edited", "fingerprint", "next_fingerprint"), "edited", "edited_fingerprint")
     return both.select("doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "fingerprint", "edited_fingerprint", likeness("fingerprint", "edited_fingerprint").alias("near_edited"), likeness("fingerprint", "next_fingerprint").alias("near_next"))
 
 
