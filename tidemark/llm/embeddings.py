@@ -27,6 +27,8 @@ THRESHOLD = 0.9
 SHARED = 12.0
 BUCKET = 128
 CELL = 1024
+#: In fewer dimensions a block has too few directions for a product code; plain random ones take its place.
+FLAT = 8
 NO_ID = -(2**63)
 
 
@@ -52,14 +54,17 @@ def code(dim: int, words: int, hits: float) -> tuple[np.ndarray, np.ndarray, flo
     turn, _ = np.linalg.qr(rng.standard_normal((dim, dim)))
     half = (dim + 1) // 2
     books = []
-    for block in (turn[:, :half], turn[:, half:]):
-        c = rng.standard_normal((max(1, block.shape[1]), words))
-        c /= np.linalg.norm(c, axis=0)
-        books.append((block @ c[: block.shape[1]] / math.sqrt(2)).astype(np.float64))
+    if dim < FLAT:
+        c = rng.standard_normal((dim, min(words**2, 65_536)))
+        books = [c / np.linalg.norm(c, axis=0), np.zeros((dim, 1))]
+    else:
+        for block in (turn[:, :half], turn[:, half:]):
+            c = rng.standard_normal((block.shape[1], words))
+            books.append(block @ (c / np.linalg.norm(c, axis=0)) / math.sqrt(2))
     probe = rng.standard_normal((100, dim))
     probe /= np.linalg.norm(probe, axis=1)[:, None]
     scores = (probe @ books[0])[:, :, None] + (probe @ books[1])[:, None, :]
-    return books[0], books[1], float(np.quantile(scores, 1 - min(0.25, hits / words**2)))
+    return books[0], books[1], float(np.quantile(scores, 1 - min(0.25, hits / (books[0].shape[1] * books[1].shape[1]))))
 
 
 def decode(x: np.ndarray, first: np.ndarray, second: np.ndarray, cap: float) -> list[np.ndarray]:

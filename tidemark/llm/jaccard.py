@@ -256,6 +256,7 @@ def op3_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group stays, that of the smallest id; rows of equal id and text count as one. Columns stay as they are."""
-    kept = join(docs).where("kept").select(F.coalesce("doc_id", F.lit(NO_ID)).alias("__kid"), F.col("text_hash").alias("__th")).distinct()
-    rows = docs.withColumn("__kid", F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))).withColumn("__th", F.xxhash64("text"))
-    return rows.join(kept, ["__kid", "__th"], "left_semi").dropDuplicates(["__kid", "__th"]).select(*docs.columns)
+    kid, th = (next(n for n in (base, *(f"{base}_{i}" for i in range(len(docs.columns) + 1))) if n not in docs.columns) for base in ("__kid", "__th"))
+    kept = join(docs).where("kept").select(F.coalesce("doc_id", F.lit(NO_ID)).alias(kid), F.col("text_hash").alias(th)).distinct()
+    rows = docs.withColumn(kid, F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))).withColumn(th, F.xxhash64("text"))
+    return rows.join(kept, [kid, th], "left_semi").dropDuplicates([kid, th]).select(*docs.columns)
