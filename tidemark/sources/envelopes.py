@@ -87,13 +87,15 @@ def dead_letters(events: DataFrame) -> DataFrame:
 
 def typed(events: DataFrame, row: T.StructType, trim: bool = True, fold_case: bool = False) -> DataFrame:
     """Good events with before and after as typed structs; absent fields are null. fold_case: fields may come in upper case."""
-    names = [(n, f) for f in row.fields for n in ([f.name, f.name.upper()] if fold_case and f.name != f.name.upper() else [f.name])]
-    schema = T.StructType([T.StructField(n, V.wire(f.dataType)) for n, f in names])
+    cases = [str, str.upper] if fold_case else [str]
+    schemas = [T.StructType([T.StructField(case(f.name), V.wire(f.dataType)) for f in row.fields]) for case in cases]
     out = events.where("error IS NULL")
     for side in ("before", "after"):
-        out = out.withColumn("__i", F.from_json(side, schema))
-        value = lambda f: F.coalesce(*[F.col(f"__i.{n}") for n, g in names if g is f])
-        out = out.withColumn(side, F.when(F.col("__i").isNotNull(), F.struct(*[V.decode(value(f), f.dataType, trim).alias(f.name) for f in row.fields]))).drop("__i")
+        out = out.withColumns({f"__i{k}": F.from_json(side, schema) for k, schema in enumerate(schemas)})
+        value = lambda i: F.coalesce(*[F.col(f"__i{k}.{schema[i].name}") for k, schema in enumerate(schemas)])
+        there = F.col(side).isNotNull() & F.col("__i0").isNotNull()
+        out = out.withColumn(side, F.when(there, F.struct(*[V.decode(value(i), f.dataType, trim).alias(f.name) for i, f in enumerate(row.fields)])))
+        out = out.drop(*[f"__i{k}" for k in range(len(cases))])
     return out
 
 
