@@ -114,7 +114,10 @@ class TransactionProcessor(StatefulProcessor):
     @staticmethod
     def emit(key, have, outcome: str) -> pd.DataFrame:
         have = sorted(have, key=lambda h: h[1])
-        return pd.DataFrame({"tx_id": [key[0]] * len(have), "outcome": [outcome] * len(have), "table": [h[0] for h in have], "total_order": pd.array([h[1] for h in have], dtype="int64"), "body": [h[3] for h in have]})
+        texts = {"tx_id": [key[0]] * len(have), "outcome": [outcome] * len(have), "table": [h[0] for h in have], "body": [h[3] for h in have]}
+        out = pd.DataFrame({k: pd.Series(v, dtype=object) for k, v in texts.items()})
+        out.insert(3, "total_order", pd.Series([h[1] for h in have], dtype="int64"))
+        return out
 
     def close(self) -> None:
         pass
