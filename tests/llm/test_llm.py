@@ -245,9 +245,9 @@ def test_context_tree_equals_definition():
     # weighted probability of the root of the first decision, by the recursive definition
     seen = defaultdict(lambda: [0, 0])
     for t in texts:
-        u = b"\xff" * 4 + t + b"\xff"
-        for i in range(4, len(u)):
-            for d in range(5):
+        u = b"\xff" * context_tree.DEPTH + t + b"\xff"
+        for i in range(context_tree.DEPTH, len(u)):
+            for d in range(context_tree.DEPTH + 1):
                 for k in range(8):
                     seen[u[i - d : i], (1 << k) | (u[i] >> (8 - k))][u[i] >> (7 - k) & 1] += 1
 
@@ -261,7 +261,7 @@ def test_context_tree_equals_definition():
 
     def weighted(context, prefix, depth):
         own = kt(*seen[context, prefix])
-        if depth == 4:
+        if depth == context_tree.DEPTH:
             return own
         below = 1.0
         for c in range(256):

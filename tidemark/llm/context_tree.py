@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import checkpoint, one_thread, reach, remainder, table
 
-DEPTH = 4
+DEPTH = 5
 SLOTS = 1 << 22
 #: Tokens with at least this share of all are broadcast: 1 / SHARE of them at most.
 SHARE = 1e-6
@@ -73,17 +73,21 @@ def _count(batches):
 
     def flush():
         nonlocal held
-        keys, n = [b"t" + w for w in words], list(words.values())
+        rows = list(words.items())
         words.clear()
+        for i in range(0, len(rows), 50_000):
+            yield emit([b"t" + w for w, _ in rows[i : i + 50_000]], [c for _, c in rows[i : i + 50_000]])
+        rows.clear()
         if codes:
-            all_, m = _sum(np.concatenate([c for c, _ in codes]), np.concatenate([m for _, m in codes]))
-            raw = all_.astype(">u8").tobytes()
-            keys += [b"g" + raw[i : i + 8] for i in range(0, len(raw), 8)]
-            n += m.tolist()
+            kinds, n = _sum(np.concatenate([c for c, _ in codes]), np.concatenate([m for _, m in codes]))
             codes.clear()
+            for i in range(0, len(kinds), 50_000):
+                raw = kinds[i : i + 50_000].astype(">u8").tobytes()
+                yield emit([b"g" + raw[j : j + 8] for j in range(0, len(raw), 8)], n[i : i + 50_000])
         held = 0
-        for i in range(0, len(keys), 50_000):
-            yield pa.RecordBatch.from_arrays([pa.array(keys[i : i + 50_000], type=pa.binary()), pa.array(n[i : i + 50_000], type=pa.int64())], names=["key", "n"])
+
+    def emit(keys, n):
+        return pa.RecordBatch.from_arrays([pa.array(keys, type=pa.binary()), pa.array(n, type=pa.int64())], names=["key", "n"])
 
     for batch in batches:
         for texts in _blocks(batch.column(0)):
