@@ -276,6 +276,42 @@ def test_context_tree_equals_definition():
             assert np.exp(logs[i]) == pytest.approx(weighted(context, int(key[i]) & 255, depth), rel=1e-9)
 
 
+def mixture(texts: list[bytes], scored: bytes) -> float:
+    """log10 probability of a text from every node of the training texts, each looked up in a plain dict."""
+    codes, n = np.unique(context_tree.grams(texts)[0], return_counts=True)
+    levels = context_tree.subtrees(codes, n)
+    nodes = {(d, k): q for d, key, _, _, q, _ in levels for k, q in zip(key.tolist(), q.tolist())}
+    _, key, n0, n1, _, below = levels[-1]
+    shallow = []
+    for mask in (0xFFFF, 0xFF):
+        key, n0, n1, below = context_tree._sum(key & np.uint64(mask), n0, n1, below)
+        both, own = context_tree._weigh(n0, n1, below)
+        shallow.append(dict(zip(key.tolist(), zip(own.tolist(), context_tree._one(n0, n1).tolist()))))
+        below = both
+    total = 0.0
+    for code in context_tree.grams([scored])[0].tolist():
+        context, symbol = code >> 8, code & 255
+        for k in range(8):
+            prefix = (1 << k) | (symbol >> (8 - k))
+            p = next((nodes[d, key] for d in range(context_tree.DEPTH, 1, -1) if (d, key := ((context & ((1 << (8 * d)) - 1)) << 8) | prefix) in nodes), None)
+            for table, key in ((shallow[0], ((context & 255) << 8) | prefix), (shallow[1], prefix)):
+                if key in table:
+                    own, est = table[key]
+                    p = est if p is None else own * est + (1 - own) * p
+            p = 0.5 if p is None else p
+            total += log10(p if symbol >> (7 - k) & 1 else 1 - p)
+    return total
+
+
+def test_context_tree_keeps_every_node(spark):
+    rng = np.random.default_rng(8)
+    text = "".join(map(chr, rng.integers(32, 127, 60_000)))  # over a million nodes, each seen twice at least
+    df = spark.createDataFrame([(0, text, True), (1, text, True), (2, text[20_000:40_000], False)], "doc_id long, text string, known boolean")
+    got = {r.doc_id: r.score for r in context_tree.score(df, df.known).collect()}
+    low = [text.lower().encode()] * 2
+    assert got[2] == pytest.approx(mixture(low, low[0][20_000:40_000]), rel=1e-5)
+
+
 def test_fingerprints(docs, rows, empty):
     got = fingerprints.edited(docs).collect()
     assert len(got) == len(rows)

@@ -5,9 +5,12 @@ it. Every node (context, decisions so far) has a Krichevsky-Trofimov estimate fr
 the weighted probability of a node is half its own estimate and half the product of its children's.
 Given the whole training corpus the nodes' posterior weights mix the estimates along a context path.
 
-Counts of (DEPTH + 1)-grams over all training texts are shuffled and summed, then subtrees below two
-context bytes are weighted where they lie. The nodes go to a table of SLOTS places by hash, the one
-seen most often keeping a place, so what executors get has one size at any input.
+Texts are packed into blocks of about BLOCK bytes. Each block asks for its distinct (DEPTH + 1)-grams,
+with their counts in its training texts. The asked grams are dealt by their last two context bytes,
+summed, and the subtrees below those bytes are weighted where they lie; every node is kept. Each
+distinct gram is looked up there once, in the deepest node seen of each decision, and the answers go
+back to the blocks that asked. Only the nodes of depths 0 and 1, of which there are at most 256 * 255
+whatever the input, are sent to all.
 
 Beside it stands the base: an add-half unigram model of tokens, whose counts cover all training
 texts. Tokens that make up a millionth of all or more (a million at most) are broadcast, the others
@@ -21,13 +24,18 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import checkpoint, one_thread, reach, remainder, table
 
 DEPTH = 5
-SLOTS = 1 << 22
+#: Bytes of text in a block, and in each of its chunks.
+BLOCK = 1 << 24
+CHUNK = 1 << 22
+#: Grams are dealt into as many buckets as there are blocks, within these bounds.
+BUCKETS = (64, 4096)
 #: Tokens with at least this share of all are broadcast: 1 / SHARE of them at most.
 SHARE = 1e-6
 FLUSH = 400_000
@@ -65,47 +73,26 @@ def grams(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _count(batches):
-    """Partial counts: (key, n), a key being t and a token, or g and a code of 8 bytes."""
+    """Partial counts of tokens: (token, c)."""
     one_thread()
     words: Counter = Counter()
-    codes: list = []
-    held = 0
 
     def flush():
-        nonlocal held
         rows = list(words.items())
         words.clear()
         for i in range(0, len(rows), 50_000):
-            yield emit([b"t" + w for w, _ in rows[i : i + 50_000]], [c for _, c in rows[i : i + 50_000]])
-        rows.clear()
-        if codes:
-            kinds, n = _sum(np.concatenate([c for c, _ in codes]), np.concatenate([m for _, m in codes]))
-            codes.clear()
-            for i in range(0, len(kinds), 50_000):
-                raw = kinds[i : i + 50_000].astype(">u8").tobytes()
-                yield emit([b"g" + raw[j : j + 8] for j in range(0, len(raw), 8)], n[i : i + 50_000])
-        held = 0
-
-    def emit(keys, n):
-        return pa.RecordBatch.from_arrays([pa.array(keys, type=pa.binary()), pa.array(n, type=pa.int64())], names=["key", "n"])
+            part = rows[i : i + 50_000]
+            yield pa.RecordBatch.from_arrays([pa.array([w for w, _ in part], type=pa.binary()), pa.array([c for _, c in part], type=pa.int64())], names=["token", "c"])
 
     for batch in batches:
-        for texts in _blocks(batch.column(0)):
-            for t in texts:
-                words.update(tokens(t))
-            c, m = np.unique(grams(texts)[0], return_counts=True)
-            codes.append((c, m))
-            held += len(c)
-            if held > 8 * FLUSH:
-                merged = _sum(np.concatenate([c for c, _ in codes]), np.concatenate([m for _, m in codes]))
-                codes[:] = [merged]
-                held = len(merged[0])
-            if len(words) > FLUSH or held > 4 * FLUSH and len(codes) == 1:
+        for value in batch.column(0):
+            words.update(tokens(lowered(value.as_py())))
+            if len(words) > FLUSH:
                 yield from flush()
     yield from flush()
 
 
-def _blocks(column, size: int = 1 << 22):
+def _blocks(column, size: int = CHUNK):
     """Lower-cased texts in blocks of about `size` bytes."""
     block, held = [], 0
     for value in column:
@@ -187,99 +174,247 @@ def subtrees(codes: np.ndarray, n: np.ndarray) -> list[tuple[int, np.ndarray, np
     return out[::-1]
 
 
-def _place(depth: int, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(slot, check) of nodes; check is 31 bits and never 0."""
-    h = (keys + np.uint64(depth << 48)) * np.uint64(0x9E3779B97F4A7C15)
-    h = (h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
-    h ^= h >> np.uint64(32)
-    return (h & np.uint64(SLOTS - 1)).astype(np.int64), ((h >> np.uint64(33)) | np.uint64(1)).astype(np.int32)
+#: Rows that are dealt: to a block or bucket (place), in the order of kind there, from a block (origin).
+DEALT = "place long, kind int, origin long, data binary"
+
+
+def _row(place: int, kind: int, origin: int, data: bytes) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([place], type=pa.int64()), pa.array([kind], type=pa.int32()), pa.array([origin], type=pa.int64()), pa.array([data], type=pa.binary())], names=["place", "kind", "origin", "data"])
+
+
+def _planes(codes: np.ndarray) -> bytes:
+    """Ascending codes of DEPTH + 1 bytes as the planes of their steps' bytes, which compress well."""
+    step = np.diff(codes, prepend=np.uint64(0)).astype(">u8")
+    return np.ascontiguousarray(step.view(np.uint8).reshape(-1, 8)[:, 7 - DEPTH :].T).tobytes()
+
+
+def _codes(data: bytes, n: int) -> np.ndarray:
+    out = np.zeros((n, 8), dtype=np.uint8)
+    out[:, 7 - DEPTH :] = np.frombuffer(data, dtype=np.uint8, count=n * (DEPTH + 1)).reshape(DEPTH + 1, n).T
+    return np.cumsum(out.view(">u8").ravel().astype(np.uint64), dtype=np.uint64)
+
+
+def _with(codes: np.ndarray, values: np.ndarray) -> bytes:
+    """Ascending codes, and one 4-byte value or row of values for each."""
+    return _planes(codes) + values.tobytes()
+
+
+def _read(data: bytes, kind, width: int = 1) -> tuple[np.ndarray, np.ndarray]:
+    n = len(data) // (DEPTH + 1 + 4 * width)
+    values = np.frombuffer(data, dtype=kind, offset=n * (DEPTH + 1))
+    return _codes(data, n), values if width == 1 else values.reshape(n, width)
+
+
+def _pack(batches):
+    """Chunks of rows (doc_id, held_out, known, text), texts in lower case, each to its block."""
+    one_thread()
+    task, block, size = TaskContext.get().partitionId() << 32, 0, 0
+    option = pa.ipc.IpcWriteOptions(compression="zstd")
+    for batch in batches:
+        at = 0
+        for texts in _blocks(batch.column(3)):
+            part = batch.slice(at, len(texts))
+            at += len(texts)
+            chunk = pa.RecordBatch.from_arrays([part.column(0), part.column(1), part.column(2), pa.array(texts, type=pa.large_binary())], names=["doc_id", "held_out", "known", "text"])
+            out = pa.BufferOutputStream()
+            with pa.ipc.new_stream(out, chunk.schema, options=option) as writer:
+                writer.write_batch(chunk)
+            size += sum(map(len, texts))
+            yield _row(task + block, 1, 0, out.getvalue().to_pybytes())
+            if size >= BLOCK:
+                block, size = block + 1, 0
+
+
+def _unpack(data: bytes) -> tuple[pa.RecordBatch, list[bytes]]:
+    with pa.ipc.open_stream(data) as reader:
+        batch = reader.read_next_batch()
+    return batch, batch.column(3).to_pylist()
+
+
+def _rows(batches):
+    for batch in batches:
+        yield from zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist(), (x.as_py() for x in batch.column(3)))
+
+
+def _asked(texts: list[bytes], known: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct grams of all texts, ascending, and their counts in the known ones."""
+    codes, starts = grams(texts)
+    size = np.diff(starts, append=len(codes))
+    both = np.sort((codes << np.uint64(1)) | np.repeat(known, size).astype(np.uint64))
+    codes = both >> np.uint64(1)
+    first = np.flatnonzero(np.r_[True, codes[1:] != codes[:-1]])
+    return codes[first], np.add.reduceat((both & np.uint64(1)).astype(np.int64), first)
+
+
+def _pair(codes: np.ndarray) -> np.ndarray:
+    return ((codes >> np.uint64(8)) & np.uint64(0xFFFF)).astype(np.int64)
+
+
+def _ask(buckets: int):
+    """Grams asked for by each block, with their counts in training, to the bucket of their last two context bytes."""
+
+    def deal(block, parts):
+        codes, n = _sum(np.concatenate([c for c, _ in parts]), np.concatenate([m for _, m in parts]))
+        bucket = ((_pair(codes) * 0x9E3779B1) & 0xFFFFFFFF) * buckets >> 32
+        order = np.argsort(bucket, kind="stable")
+        codes, n, bucket = codes[order], n[order].astype("<u4"), bucket[order]
+        cuts = [*np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]]).tolist(), len(codes)]
+        for i, j in zip(cuts, cuts[1:]):
+            yield _row(int(bucket[i]), 1, block, _with(codes[i:j], n[i:j]))
+
+    def run(batches):
+        one_thread()
+        now, parts = None, []
+        for block, _, _, data in _rows(batches):
+            if parts and block != now:
+                yield from deal(now, parts)
+                parts = []
+            batch, texts = _unpack(data)
+            now = block
+            parts.append(_asked(texts, np.array(batch.column(2).to_pylist(), dtype=bool)))
+        if parts:
+            yield from deal(now, parts)
+
+    return run
+
+
+def deepest(levels: list, codes: np.ndarray) -> np.ndarray:
+    """For ascending codes, the probability of each of the eight decisions made in its deepest node seen, -1 without one of depth 2 or more."""
+    context, symbol = codes >> np.uint64(8), codes & np.uint64(255)
+    out = np.full((len(codes), 8), -1.0, dtype=np.float32)
+    for k in range(8):
+        prefix = np.uint64(1 << k) | (symbol >> np.uint64(8 - k))
+        todo = np.arange(len(codes))
+        p = np.full(len(codes), -1.0)
+        for d, keys, _, _, q, _ in levels:
+            if not len(keys) or not len(todo):
+                continue
+            key = ((context[todo] & np.uint64((1 << (8 * d)) - 1)) << np.uint64(8)) | prefix[todo]
+            at = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
+            hit = keys[at] == key
+            p[todo[hit]] = q[at[hit]]
+            todo = todo[~hit]
+        one = ((symbol >> np.uint64(7 - k)) & np.uint64(1)).astype(bool)
+        out[:, k] = np.where(p < 0, -1.0, np.where(one, p, 1 - p))
+    return out
 
 
 def _nodes(batches):
-    """Rows of a partition of (pair, code, n), sorted by pair: nodes (slot, check, n, q), and those of depth 2 (key, n0, n1, weighted) too."""
+    """Rows dealt to buckets, sorted by place: every asked gram with its decisions' probabilities, and the nodes of depth 2 summed to depth 1 (key, n0, n1, weighted)."""
     one_thread()
-    held: list = []
-
-    def work(pair, codes, n):
-        for depth, key, n0, n1, q, weighted in subtrees(codes, n):
-            slot, check = _place(depth, key)
-            total = n0 + n1
-            worth = np.ones(len(key), dtype=bool) if depth == 2 else total > 1
-            two = depth == 2
-            for i in range(0, len(key), 100_000):
-                w = np.flatnonzero(worth[i : i + 100_000]) + i
-                none = lambda t: pa.nulls(len(w), type=t)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(slot[w]), pa.array(check[w]), pa.array(total[w]), pa.array(q[w]), pa.array(key[w].astype(np.int64)) if two else none(pa.int64()), pa.array(n0[w]) if two else none(pa.int64()), pa.array(n1[w]) if two else none(pa.int64()), pa.array(weighted[w]) if two else none(pa.float64())],
-                    names=["slot", "check", "n", "q", "key", "n0", "n1", "weighted"],
-                )
 
-    for batch in batches:
-        held.append([batch.column(i).to_numpy() for i in range(3)])
-        if sum(len(h[0]) for h in held) > 500_000:
-            pair, code, n = (np.concatenate(c) for c in zip(*held))
-            cut = int(np.flatnonzero(np.r_[True, pair[1:] != pair[:-1]])[-1])  # the last pair may go on
-            if cut:
-                yield from work(pair[:cut], code[:cut].astype(np.uint64), n[:cut])
-            held = [[pair[cut:], code[cut:], n[cut:]]]
-    if held:
-        pair, code, n = (np.concatenate(c) for c in zip(*held))
-        if len(code):
-            yield from work(pair, code.astype(np.uint64), n)
-
-
-NODES = "slot long, check int, n long, q double, key long, n0 long, n1 long, weighted double"
-
-
-def build(counts: DataFrame) -> dict:
-    """The model from summed (key, n) rows: arrays of fixed sizes."""
-    pairs = counts.where("substring(key, 1, 1) = X'67'").select(F.conv(F.hex(F.substring("key", 2, 8)), 16, 10).cast("long").alias("code"), "n")
-    pairs = pairs.select(F.expr("shiftright(code, 8) & 65535").alias("pair"), "code", "n").repartition("pair").sortWithinPartitions("pair")
-    nodes = checkpoint(pairs.mapInArrow(_nodes, NODES))
-    # at most 256 * 255 rows, then at most SLOTS
-    one = nodes.where("key IS NOT NULL").groupBy(F.expr("(shiftright(key, 8) & 255) * 256 + (key & 255)").alias("key")).agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"), F.sum("weighted").alias("below")).toArrow()
+    def out(place, data, key, n0, n1, weighted):
+        none = data is None
+        return pa.RecordBatch.from_arrays(
+            [pa.array([place] * len(key), type=pa.int64()), pa.array([0] * len(key), type=pa.int32()), pa.nulls(len(key), pa.int64()), pa.nulls(len(key), pa.binary()) if none else pa.array([data], type=pa.binary()), pa.array(key, type=pa.int64()), pa.array(n0, type=pa.int64()), pa.array(n1, type=pa.int64()), pa.array(weighted, type=pa.float64())],
+            names=["place", "kind", "origin", "data", "key", "n0", "n1", "weighted"],
+        )
+
+    def work(place, codes, n):
+        pair = _pair(codes)
+        order = np.argsort(pair, kind="stable")
+        codes, n, pair = codes[order], n[order], pair[order]
+        ends = np.flatnonzero(np.r_[pair[1:] != pair[:-1], True]) + 1
+        i = 0
+        while i < len(codes):  # whole pairs, about 200,000 grams at once
+            j = int(ends[min(np.searchsorted(ends, i + 200_000), len(ends) - 1)])
+            c = np.argsort(codes[i:j])
+            c, m = codes[i:j][c], n[i:j][c]
+            levels = subtrees(c[m > 0], m[m > 0])
+            _, key, n0, n1, _, weighted = levels[-1]
+            if len(key):
+                up, n0, n1, weighted = _sum(key & np.uint64(0xFFFF), n0, n1, weighted)
+                yield out(place, None, up.astype(np.int64), n0, n1, weighted)
+            for a in range(0, len(c), 100_000):
+                part = c[a : a + 100_000]
+                yield out(place, _with(part, deepest(levels, part)), [None], [None], [None], [None])
+            i = j
+
+    now, parts, held = None, [], 0
+    for place, _, _, data in _rows(batches):
+        if parts and place != now:
+            yield from work(now, *_sum(np.concatenate([c for c, _ in parts]), np.concatenate([m for _, m in parts])))
+            parts, held = [], 0
+        now = place
+        codes, n = _read(data, "<u4")
+        parts.append((codes, n.astype(np.int64)))
+        held += len(codes)
+        if held > 2_000_000 and held > 2 * len(parts[0][0]):
+            parts = [_sum(np.concatenate([c for c, _ in parts]), np.concatenate([m for _, m in parts]))]
+            held = len(parts[0][0])
+    if parts:
+        yield from work(now, *_sum(np.concatenate([c for c, _ in parts]), np.concatenate([m for _, m in parts])))
+
+
+def top(nodes: DataFrame) -> dict:
+    """Depths 1 and 0 of the model: the share of the own estimate, and the estimate; 0: not seen."""
+    # at most 256 * 255 rows
+    one = nodes.where("key IS NOT NULL").groupBy("key").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"), F.sum("weighted").alias("below")).toArrow()
     key, n0, n1, below = (one.column(i).to_numpy() for i in range(4))
-    weighted, own = _weigh(n0, n1, below)
-    first = np.zeros((2, 256 * 256), dtype=np.float32)  # depth 1: share of the own estimate, and the estimate; 0: not seen
-    first[:, key] = own, _one(n0, n1)
-    root = np.zeros((2, 256), dtype=np.float32)
-    prefix, z, o, below = _sum((key & 255).astype(np.uint64), n0, n1, weighted)
+    own = _weigh(n0, n1, below)
+    first, root = np.zeros((2, 256 * 256)), np.zeros((2, 256))
+    first[:, key] = own[1], _one(n0, n1)
+    # below the root stand the weighted probabilities of depth 1
+    prefix, z, o, below = _sum((key & 255).astype(np.uint64), n0, n1, own[0])
     if len(prefix):
         root[:, prefix.astype(np.int64)] = _weigh(z, o, below)[1], _one(z, o)
-    rows = nodes.groupBy("slot").agg(F.max(F.struct("n", "check", "q")).alias("m")).select(F.col("slot").cast("int"), "m.check", F.col("m.q").cast("float").alias("q")).toArrow()
-    check, q = np.zeros(SLOTS, dtype=np.int32), np.zeros(SLOTS, dtype=np.float32)
-    slot = rows.column(0).to_numpy()
-    check[slot], q[slot] = rows.column(1).to_numpy(), rows.column(2).to_numpy()
-    return {"check": check, "q": q, "first": first, "root": root}
+    return {"first": first, "root": root}
 
 
-def log2_byte(model: dict, codes: np.ndarray) -> np.ndarray:
-    """log2 probability of each gram's last byte in its context; -8 without any training text."""
-    context, symbol = codes >> np.uint64(8), codes & np.uint64(255)
+def log2_byte(model: dict, codes: np.ndarray, deep: np.ndarray) -> np.ndarray:
+    """log2 probability of each gram's last byte in its context, from depths 1 and 0 and deepest(); -8 without any training text."""
+    last, symbol = (codes >> np.uint64(8)) & np.uint64(255), codes & np.uint64(255)
     out = np.zeros(len(codes))
     for k in range(8):
         prefix = np.uint64(1 << k) | (symbol >> np.uint64(8 - k))
-        p = np.full(len(codes), -1.0, dtype=np.float32)
-        todo = np.arange(len(codes))
-        for d in range(DEPTH, 1, -1):
-            key = ((context[todo] & np.uint64((1 << (8 * d)) - 1)) << np.uint64(8)) | prefix[todo]
-            slot, check = _place(d, key)
-            hit = model["check"][slot] == check
-            p[todo[hit]] = model["q"][slot[hit]]
-            todo = todo[~hit]
-        own, est = model["first"][:, (((context & np.uint64(255)) << np.uint64(8)) | prefix).astype(np.int64)]
-        p = np.where(est > 0, own * est + (1 - own) * np.where(p < 0, est, p), -1.0)
-        own, est = model["root"][:, prefix.astype(np.int64)]
-        p = np.where(est > 0, own * est + (1 - own) * np.where(p < 0, est, p), 0.5)
-        out += np.log2(np.where((symbol >> np.uint64(7 - k)) & np.uint64(1), p, 1 - p))
+        one = ((symbol >> np.uint64(7 - k)) & np.uint64(1)).astype(bool)
+        p = deep[:, k].astype(np.float64)
+        for own, est in (model["first"][:, ((last << np.uint64(8)) | prefix).astype(np.int64)], model["root"][:, prefix.astype(np.int64)]):
+            made = np.where(one, est, 1 - est)
+            p = np.where(est > 0, own * made + (1 - own) * np.where(p < 0, made, p), p)
+        out += np.log2(np.where(p < 0, 0.5, p))
     return out
 
 
-def log10_texts(model: dict, texts: list[bytes]) -> np.ndarray:
-    """log10 probability of each text and its end."""
+def _answer(shared):
+    """Rows dealt to buckets, sorted by place and kind: each asked gram's log2 probability, to the block that asked."""
+
+    def run(batches):
+        one_thread()
+        model, now, parts, codes, bits = shared.value, None, [], None, None
+        for place, kind, origin, data in _rows(batches):
+            if place != now:
+                now, parts, codes = place, [], None
+            if kind == 0:
+                c, deep = _read(data, "<f4", 8)
+                parts.append((c, log2_byte(model, c, deep).astype("<f4")))
+                continue
+            if codes is None:
+                codes, bits = _table(parts)
+            c, _ = _read(data, "<u4")
+            yield _row(origin, 0, 0, _with(c, bits[_find(codes, c)]))
+
+    return run
+
+
+def _table(parts: list) -> tuple[np.ndarray, np.ndarray]:
+    codes, bits = np.concatenate([c for c, _ in parts]), np.concatenate([b for _, b in parts])
+    order = np.argsort(codes)
+    return codes[order], bits[order]
+
+
+def _find(codes: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    at = np.searchsorted(codes, wanted)
+    if len(wanted) and (at[-1] >= len(codes) or not np.array_equal(codes[at], wanted)):
+        raise RuntimeError("a gram was not answered")
+    return at
+
+
+def log10_texts(table: tuple, texts: list[bytes]) -> np.ndarray:
+    """log10 probability of each text and its end, from the answers (codes, log2 probabilities) of its block."""
     codes, starts = grams(texts)
     kinds, at = np.unique(codes, return_inverse=True)
-    return np.add.reduceat(log2_byte(model, kinds)[at], starts) * math.log10(2)
+    return np.add.reduceat(table[1][_find(table[0], kinds)].astype(np.float64)[at], starts) * math.log10(2)
 
 
 def score(df: DataFrame, known, id_col: str = "doc_id", text_col: str = "text", held=None) -> DataFrame:
@@ -291,41 +426,53 @@ def score(df: DataFrame, known, id_col: str = "doc_id", text_col: str = "text",
     """
     spark = reach(df).sparkSession
     train = df.where(known).select(F.col(text_col).alias("text"))
-    counts = checkpoint(train.mapInArrow(_count, "key binary, n long").groupBy("key").agg(F.sum("n").alias("n")))
-    words = counts.where("substring(key, 1, 1) = X'74'").select(F.expr("substring(key, 2)").alias("token"), F.col("n").alias("c"))
+    words = checkpoint(train.mapInArrow(_count, "token binary, c long").groupBy("token").agg(F.sum("c").alias("c")))
     total, kinds = words.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
     below = math.log10(total + 0.5 * (kinds + 1))
     often = words.where(F.col("c") >= max(1.0, total * SHARE)).toArrow() if total else None
-    top = dict(zip((x.as_py() for x in often.column(0)), often.column(1).to_pylist(), strict=True)) if often is not None else {}
-    shared = spark.sparkContext.broadcast((build(counts), top))
+    often_tokens = dict(zip((x.as_py() for x in often.column(0)), often.column(1).to_pylist(), strict=True)) if often is not None else {}
+    held = ~F.coalesce(known, F.lit(False)) if held is None else held
+    rows = df.select(F.col(id_col).cast("long").alias("doc_id"), held.alias("held_out"), F.coalesce(known, F.lit(False)).alias("known"), F.col(text_col).alias("text"))
+    chunks = checkpoint(rows.mapInArrow(_pack, DEALT))
+    buckets = min(max(chunks.select("place").distinct().count(), BUCKETS[0]), BUCKETS[1])
+    asked = checkpoint(chunks.mapInArrow(_ask(buckets), DEALT))
+    nodes = checkpoint(asked.repartition("place").sortWithinPartitions("place").mapInArrow(_nodes, DEALT + ", key long, n0 long, n1 long, weighted double"))
+    shared = spark.sparkContext.broadcast(top(nodes))
+    often_ = spark.sparkContext.broadcast(often_tokens)
+    found = asked.union(nodes.where("data IS NOT NULL").select("place", "kind", "origin", "data"))
+    answers = found.repartition("place").sortWithinPartitions("place", "kind").mapInArrow(_answer(shared), DEALT)
 
     def run(batches):
         one_thread()
-        model, top = shared.value
-        value = {w: math.log10(c + 0.5) - below for w, c in top.items()}
-        for batch in batches:
-            at = 0
-            for texts in _blocks(batch.column(2)):
-                size, known_, base, rest = [], [], [], []
-                for t in texts:
-                    w = tokens(t)
-                    here = [value.get(x) for x in w]
-                    other = [x for x, v in zip(w, here) if v is None]
-                    size.append(len(w))
-                    known_.append(len(w) - len(other))
-                    base.append(math.fsum(v for v in here if v is not None))
-                    rest.append(other)
-                logs = log10_texts(model, texts)
-                part = batch.slice(at, len(texts))
-                at += len(texts)
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), part.column(1), pa.array(size, type=pa.int64()), pa.array(known_, type=pa.int64()), pa.array(base, type=pa.float64()), pa.array(logs, type=pa.float64()), pa.array([-x * math.log2(10) / (len(t) + 1) for x, t in zip(logs.tolist(), texts)], type=pa.float64()), pa.array(rest, type=pa.list_(pa.binary()))],
-                    names=["doc_id", "held_out", "n_tokens", "n_known", "base", "score", "bits_per_byte", "rest"],
-                )
-
-    held = ~F.coalesce(known, F.lit(False)) if held is None else held
-    rows = df.select(F.col(id_col).cast("long").alias("doc_id"), held.alias("held_out"), F.col(text_col).alias("text"))
-    made = rows.mapInArrow(run, "doc_id long, held_out boolean, n_tokens long, n_known long, base double, score double, bits_per_byte double, rest array<binary>")
+        value = {w: math.log10(c + 0.5) - below for w, c in often_.value.items()}
+        now, parts, table_ = None, [], None
+        for place, kind, _, data in _rows(batches):
+            if place != now:
+                now, parts, table_ = place, [], None
+            if kind == 0:
+                parts.append(_read(data, "<f4"))
+                continue
+            if table_ is None:
+                table_ = _table(parts)
+                parts = []
+            part, texts = _unpack(data)
+            size, known_, base, rest = [], [], [], []
+            for t in texts:
+                w = tokens(t)
+                here = [value.get(x) for x in w]
+                other = [x for x, v in zip(w, here) if v is None]
+                size.append(len(w))
+                known_.append(len(w) - len(other))
+                base.append(math.fsum(v for v in here if v is not None))
+                rest.append(other)
+            logs = log10_texts(table_, texts)
+            yield pa.RecordBatch.from_arrays(
+                [part.column(0), part.column(1), pa.array(size, type=pa.int64()), pa.array(known_, type=pa.int64()), pa.array(base, type=pa.float64()), pa.array(logs, type=pa.float64()), pa.array([-x * math.log2(10) / (len(t) + 1) for x, t in zip(logs.tolist(), texts)], type=pa.float64()), pa.array(rest, type=pa.list_(pa.binary()))],
+                names=["doc_id", "held_out", "n_tokens", "n_known", "base", "score", "bits_per_byte", "rest"],
+            )
+
+    back = answers.union(chunks).repartition("place").sortWithinPartitions("place", "kind")
+    made = back.mapInArrow(run, "doc_id long, held_out boolean, n_tokens long, n_known long, base double, score double, bits_per_byte double, rest array<binary>")
     made = checkpoint(made.withColumn("rid", F.monotonically_increasing_id()))
     rest = made.select("rid", F.explode("rest").alias("token")).join(words, "token", "left")
     rest = rest.groupBy("rid").agg(F.sum(F.log10(F.coalesce("c", F.lit(0)) + F.lit(0.5)) - F.lit(below)).alias("more"), F.count("c").alias("known"))
