@@ -312,6 +312,14 @@ def test_context_tree_keeps_every_node(spark):
     assert got[2] == pytest.approx(mixture(low, low[0][20_000:40_000]), rel=1e-5)
 
 
+def test_context_tree_mixes_contexts_seen_once(spark):
+    text = "A passage which stands only once: quick zephyrs blow, vexing daft Jim!"
+    df = spark.createDataFrame([(0, text, True), (1, prose(4, 30), True), (2, text[10:60], False)], "doc_id long, text string, known boolean")
+    got = {r.doc_id: r.score for r in context_tree.score(df, df.known).collect()}
+    low = [text.lower().encode(), prose(4, 30).encode()]
+    assert got[2] == pytest.approx(mixture(low, low[0][10:60]), rel=1e-5)
+
+
 def test_fingerprints(docs, rows, empty):
     got = fingerprints.edited(docs).collect()
     assert len(got) == len(rows)
