@@ -372,6 +372,23 @@ def test_licenses(spark, docs, rows, empty):
     assert licenses.scan(docs).count() == len(rows)
 
 
+def test_licenses_do_not_depend_on_line_breaks(spark):
+    import textwrap
+
+    texts, want = [], []
+    for label, notice in licenses.TEMPLATES:
+        for text in (notice, "\n".join("# " + x for x in textwrap.wrap(notice, 50, break_long_words=False)), "\n".join(notice.split()), prose(1, 3000) + " " + notice + " " + prose(2, 3000)):
+            texts.append(text)
+            want.append(label)
+    # all words of a notice in one very long line, but nowhere together
+    apart = (" " + prose(3, 60)[:-1] + " ").join(licenses.TEMPLATES[1][1].split())
+    df = spark.createDataFrame([(k, t) for k, t in enumerate([*texts, apart])], "doc_id long, text string")
+    got = {r.doc_id: r for r in licenses.scan(df).collect()}
+    assert [(k, r.labels, r.score) for k, label in enumerate(want) if label not in (r := got[k]).labels.split(",") or r.score < 1] == []
+    assert got[len(texts)].labels == "" and got[len(texts)].score == 0
+    assert all(b.block >= 2900 for b in got[3].blocks) and got[3].blocks
+
+
 def test_language(docs, rows, empty):
     model = language.learn(docs)
     got = language.identify(docs, model).collect()
