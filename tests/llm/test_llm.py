@@ -352,6 +352,16 @@ def test_fingerprints_follow_order(spark):
     assert r.same == 1.0 and r.moved < 0.9 and r.mixed < r.moved
 
 
+def test_fingerprints_of_unspaced_texts_outlive_an_insertion(spark):
+    rng = random.Random(6)
+    text = "".join(chr(rng.randrange(0x4E00, 0x9FA5)) for _ in range(6000))
+    df = spark.createDataFrame([(text, x) for x in ("x" + text, text[:3000] + "x" + text[3000:], text[::-1])], "a string, b string")
+    for c in "ab":
+        df = fingerprints.fingerprint(df, c, f"f{c}")
+    start, middle, other = (r.x for r in df.select(fingerprints.likeness("fa", "fb").alias("x")).collect())
+    assert start > 0.8 and middle > 0.8 and other < 0.2
+
+
 def test_licenses(spark, docs, rows, empty):
     lines = ["Released under the MIT License.", "UNDER the mit\nlicense; under THE MIT License", "This work is licensed under the GNU General Public License, version 3.", "licensed under CC BY-NC 4.0", "cc, by: nc", "apache license version", prose(2, 50) + "\nApache License, Version 2.0\n" + prose(3, 40), "É" * 10]
     df = spark.createDataFrame([(k, t, "clash") for k, t in enumerate(lines + ODD)], "doc_id long, text string, words string")

@@ -1,7 +1,8 @@
 """Order MinHash fingerprints, in DataFrame functions only.
 
-A text is cut into tokens: runs of at most GRAIN characters other than white space, with the white
-space that follows. A k-mer is a token with its successor (nothing after the last), and its r-th
+A token is a word of at most GRAIN characters with the white space that follows; longer runs without
+white space give one at every character, of the GRAIN characters from there on, so that an edit
+changes only those near it. A k-mer is a token with its successor (nothing after the last), and its r-th
 occurrence in the text is numbered r. A hash of (k-mer, r) deals the numbered k-mers into BINS; in
 each bin the TAKE smallest are selected, put back into text order, and their tuple is hashed. Two
 texts are as alike as the share of bins, filled in either, that agree. As tuples keep the order of
@@ -19,7 +20,7 @@ GRAIN = 8
 BINS = 32
 TAKE = 2
 #: Positions take the low bits of a packed number, hashes the rest, so that plain longs can be sorted.
-PLACE = 24
+PLACE = 28
 EMPTY = "." * 8
 NO_ID = -(2**63)
 
@@ -28,14 +29,14 @@ def fingerprint(df: DataFrame, text_col: str, name: str) -> DataFrame:
     """Add `name`: BINS fields of 8 characters each, hex of the bin's hash or dots for an empty bin.
 
     Equal texts get equal fingerprints. A null or empty text has dots only. No rows are moved.
-    Texts of 2^24 tokens or more raise an error.
+    Texts of 2^28 tokens or more raise an error.
     """
     t, k, s, f, h, q = (f"__{name}_{x}" for x in "tksfhq")
     mask = (1 << (63 - PLACE)) - 1
     low = (1 << PLACE) - 1
     width = 63 - PLACE
     shift = width - BINS.bit_length() + 1  # the hash's top bits name the bin
-    df = df.withColumn(t, F.expr(rf"regexp_extract_all(coalesce({text_col}, ''), '\\S{{1,{GRAIN}}}\\s*|\\s+', 0)"))
+    df = df.withColumn(t, F.expr(rf"regexp_extract_all(coalesce({text_col}, ''), '(?=(\\S{{1,{GRAIN}}}\\s*|\\s+))(?:(?<!\\S)\\S{{1,{GRAIN}}}(?!\\S)\\s*|\\S\\s*|\\s+)', 1)"))
     df = df.withColumn(t, F.expr(f"if(size({t}) <= {low}, {t}, raise_error('text too long to fingerprint'))"))
     # k-mers as packed (hash, place)
     df = df.withColumn(k, F.expr(f"sort_array(transform({t}, (x, i) -> shiftleft(xxhash64(x, coalesce(get({t}, i + 1), '')) & {mask}L, {PLACE}) | i))"))
