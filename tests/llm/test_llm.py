@@ -442,7 +442,7 @@ def test_language_gradient():
         assert grad[k][at] == pytest.approx((loss(up) - loss(down)) / 2e-5, rel=1e-3, abs=1e-6)
 
 
-def test_toxicity(spark, docs, empty):
+def test_toxicity(spark, docs, empty, tmp_path):
     bad = "trashy moronic pathetically worthlessly".split()
     rng = random.Random(5)
     out = []
@@ -460,8 +460,51 @@ def test_toxicity(spark, docs, empty):
     assert np.mean([r.predicted == (r.doc_id % 3 == 0) for r in held]) > 0.9
     odd = toxicity.score(docs, model).collect()
     assert len(odd) == docs.count() and all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.5) for r in odd)
-    assert toxicity.score(empty, None).count() == 0
-    assert toxicity.fit(empty, labels) is None
+    assert toxicity.score(empty, []).count() == 0
+    assert toxicity.fit(empty, labels) == []
+    assert {r.score for r in toxicity.score(docs, []).collect()} == {0.0}
+    texts.write.parquet(f"{tmp_path}/documents.parquet")
+    labels.write.parquet(f"{tmp_path}/labels.parquet")
+    odd_ids = {r.doc_id for r in got if r.predicted}
+    left = toxicity.stage(spark, texts.union(texts), str(tmp_path))
+    assert left.columns == texts.columns
+    assert Counter(r.doc_id for r in left.collect()) == {i: 2 for i in range(240) if i not in odd_ids}
+    assert toxicity.stage(spark, texts.where("false"), str(tmp_path)).count() == 0
+
+
+def test_toxicity_distances_are_compressed_lengths():
+    rng = random.Random(5)
+    pairs = []
+    for i in range(120):
+        w = prose(1000 + i, 80).split()
+        for _ in range(4 if i % 3 == 0 else 0):
+            w.insert(rng.randrange(len(w)), rng.choice(["trashy", "moronic", "pathetically"]))
+        pairs.append((" ".join(w), int(i % 3 == 0)))
+    model = toxicity.learn(pairs)
+    text = toxicity._lower(pairs[0][0])
+    got = toxicity.measures(model)(text)
+
+    def plain(dictionary, window):
+        import zstandard
+
+        kind = zstandard.ZstdCompressionDict(dictionary)
+        tune = zstandard.ZstdCompressionParameters(strategy=zstandard.STRATEGY_LAZY2, min_match=4, window_log=16, hash_log=12, chain_log=12, search_log=4, target_length=32, write_checksum=False, write_content_size=False, write_dict_id=False, format=zstandard.FORMAT_ZSTD1_MAGICLESS)
+        return len(zstandard.ZstdCompressor(dict_data=kind, compression_params=tune).compress(window + bytes(32)))
+
+    windows = [w.encode() + b" " for w in text.decode().split(" ")]
+    windows[-1] = windows[-1][:-1]
+    assert max(map(len, windows)) <= 17
+    for side, saved in zip(model, got):
+        assert saved.tolist() == [plain(side["ordinary"], w) - plain(side["toxic"], w) for w in windows]
+        over = [sum(x >= k for x in saved.tolist()) for k in toxicity.THRESHOLDS]
+        assert toxicity.features(saved)[3 : 3 + len(over)] == pytest.approx(np.log1p(over))
+
+
+def test_toxicity_folds_keep_copies_together():
+    texts = [prose(i, 120).encode() for i in range(20)]
+    near = [t.replace(b" ", b" x ", 2) for t in texts]
+    got = toxicity.folds([toxicity.PASSAGE.findall(t) for t in texts + near])
+    assert (got[:20] == got[20:]).all() and set(got.tolist()) == {0, 1}
 
 
 def test_pipeline_equals_its_stages_by_hand(spark, tmp_path):

@@ -1,19 +1,20 @@
 """Toxicity by compression distance.
 
-Two zstandard dictionaries are trained: one on windows of ordinary texts, one on what sets toxic texts
-apart (their words that ordinary texts of the sample hardly hold, in the order in which they stand).
-A window of a text is compressed with the ordinary dictionary, and again with the toxic one put before it; what the second saves
-is the window's distance. Thresholds on the distances, calibrated on the labelled sample, give a
-document's counts of windows, and a logistic curve over them the score.
+Two zstandard dictionaries are trained apart, one on windows of ordinary text, one on windows of toxic
+text. A window of a text is compressed with each alone, and its distance is how many bytes the
+toxic one saves. Most windows of a toxic text are as ordinary as any, so the toxic dictionary is trained
+again on the windows whose distance toxic texts surpass RATIO times as often as ordinary ones. All of this
+goes crosswise between two folds of the sample, so that no text is measured by what it was trained on, and
+gives two pairs of dictionaries. Counts of a document's windows over each threshold, calibrated by a
+logistic curve for each pair on the other fold, give two scores, whose mean in log odds is the document's.
 """
 
 from __future__ import annotations
 
+import random
 import re
-from collections import Counter, defaultdict
 
 import numpy as np
-import xxhash
 import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,116 +22,173 @@ from pyspark.sql import types as T
 
 from tidemark.llm.common import append, remainder, table
 
-#: The sample learned from: at most so many documents of label 1 and of label 0, at most so many characters of each.
-TOXIC, ORDINARY, CHARS = 1500, 3000, 20_000
-SPAN, STRIDE = 160, 144
-ORDINARY_BYTES, TOXIC_BYTES, WORDS = 4096, 2048, 120
-THRESHOLDS = (2, 3, 4, 5, 6, 8, 10)
-WORD = re.compile(rb"[a-z0-9\x80-\xff]+")
+#: The sample learned from: whole texts of at most so many documents of label 1 and of label 0.
+TOXIC, ORDINARY = 1500, 3000
+#: A window: a run of at most 16 bytes without white space, and the white space after it.
+WINDOW = re.compile(rb"\S{1,16}\s*|\s+")
+#: What a dictionary is trained on: up to six runs of one sentence.
+PASSAGE = re.compile(rb"[.!?\s]*(?:[^\s.!?]{1,16}\s*){1,6}|[.!?\s]+")
+#: Behind every window, as zstandard finds no match in the last bytes of its input.
+TAIL = bytes(32)
+ORDINARY_BYTES, FIRST_BYTES, TOXIC_BYTES = 65536, 16384, 2048
+#: Trainings of a toxic dictionary, of which that of the least loss is kept.
+ROUNDS, RATIO = 8, 3
+#: Bytes saved from which a window counts.
+THRESHOLDS = (1, 2, 3, 4, 5, 6, 7, 8)
+#: Texts that share more than this of their passages go to one fold.
+COPY = 0.2
+KEPT = 200_000
 
 
 def sample(docs: DataFrame, labels: DataFrame, known: Column, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> list[tuple[str, int]]:
-    """(text, label) of a bounded number of labelled documents, chosen by a hash of the id; known: which ids may be learned from."""
+    """(text, label) of a bounded number of labelled documents, chosen by a hash of the id; known: which ids may be learned from.
+
+    An id with several labels has the largest, one with several texts the smallest.
+    """
     rows = labels.where(known & F.col(label_col).isin(0, 1)).groupBy(id_col).agg(F.max(label_col).alias("y"))
     picked = None
     for y, most in ((1, TOXIC), (0, ORDINARY)):
         part = rows.where(F.col("y") == y).orderBy(F.xxhash64(id_col), id_col).limit(most)
         picked = part if picked is None else picked.union(part)
     # TOXIC + ORDINARY rows at most
-    got = docs.select(id_col, F.substring(F.coalesce(text_col, F.lit("")), 1, CHARS).alias("text")).dropna(subset=[id_col]).join(F.broadcast(picked), id_col)
-    return sorted((r.text, int(r.y)) for r in got.dropDuplicates([id_col]).collect())
+    got = docs.select(id_col, F.coalesce(text_col, F.lit("")).alias("text")).dropna(subset=[id_col]).join(F.broadcast(picked), id_col)
+    return sorted((r.text, int(r.y)) for r in got.groupBy(id_col).agg(F.min("text").alias("text"), F.first("y").alias("y")).collect())
 
 
 def _lower(text: str | None) -> bytes:
     return (text or "").lower().encode()
 
 
-def _dictionary(samples: list[bytes], size: int) -> bytes:
+def _train(passages: list[bytes], size: int) -> bytes:
+    """A dictionary of distinct passages, whatever their order."""
+    some = sorted(set(passages))
+    random.Random(3).shuffle(some)
     try:
-        return zstandard.train_dictionary(size, samples, k=32, d=6).as_bytes()
-    except zstandard.ZstdError:  # too few samples to train on: their plain text serves
-        return b"".join(samples)[-size:]
-
-
-def _distinct(pairs: list[tuple[bytes, int]]) -> list[tuple[bytes, int]]:
-    """One of each group of copies: texts whose smallest hash of word pairs is the same."""
-    seen, out = set(), []
-    for b, y in pairs:
-        w = b.split()
-        key = min((xxhash.xxh3_64_intdigest(x + b" " + z) for x, z in zip(w, w[1:])), default=xxhash.xxh3_64_intdigest(b))
-        if key not in seen:
-            seen.add(key)
-            out.append((b, y))
-    return out
-
-
-def learn(pairs: list[tuple[str, int]]) -> dict | None:
-    """Dictionaries and curve; None if the sample lacks a label or telling words."""
-    rows = _distinct([(_lower(t), y) for t, y in pairs])
-    n1, n0 = sum(y for _, y in rows), sum(1 - y for _, y in rows)
-    if not n1 or not n0:
-        return None
-    before, in1, in0 = defaultdict(set), Counter(), Counter()
-    for b, y in rows:
-        w = WORD.findall(b)
-        (in1 if y else in0).update(set(w))
-        if y:
-            for p, x in zip([b"", *w], w):
-                before[x].add(p)
-    few = min(6, max(2, n1 // 20))
-    telling = [x for x, p in before.items() if len(p) >= few and in1[x] >= few and in1[x] / n1 > 8 * (in0[x] + 0.5) / n0]
-    telling = set(sorted(telling, key=lambda x: (in0[x] / n0 - in1[x] / n1, x))[:WORDS])
-    if not telling:
-        return None
-    marked = []
-    for b, y in rows:
-        if y:
-            m = [x for x in WORD.findall(b) if x in telling]
-            marked += [b" " + b" ".join(m[i : i + 4]) + b" " for i in range(0, len(m), 4)]
-    windows = [b[i : i + 256] for b, y in rows if not y for i in range(0, len(b), 256)]
-    rng = np.random.default_rng(3)
-    windows = [windows[i] for i in rng.permutation(len(windows))[:16_000]]
-    model = {"ordinary": _dictionary(windows, ORDINARY_BYTES), "toxic": _dictionary(marked, TOXIC_BYTES)}
-    measure = _measure(model)
-    x, y = np.array([features(measure(_lower(t))) for t, _ in pairs]), np.array([y for _, y in pairs], dtype=float)
+        return zstandard.train_dictionary(size, some, k=14, d=6).as_bytes()
+    except zstandard.ZstdError:  # too few to train on: their plain text serves
+        return b"".join(some)[-size:]
+
+
+def _length(dictionary: bytes):
+    """A function from a window to its compressed length."""
+    tune = zstandard.ZstdCompressionParameters(strategy=zstandard.STRATEGY_LAZY2, min_match=4, window_log=16, hash_log=12, chain_log=12, search_log=4, target_length=32, write_checksum=False, write_content_size=False, write_dict_id=False, format=zstandard.FORMAT_ZSTD1_MAGICLESS)
+    pack = zstandard.ZstdCompressor(dict_data=zstandard.ZstdCompressionDict(dictionary), compression_params=tune).compress
+    return lambda window: len(pack(window + TAIL))
+
+
+def folds(passages: list[list[bytes]]) -> np.ndarray:
+    """0 or 1 for each text; a text follows an earlier one with which it shares more than COPY of its distinct passages."""
+    owner: dict[bytes, int] = {}
+    out = np.zeros(len(passages), dtype=np.int64)
+    groups = 0
+    for i, p in enumerate(passages):
+        own = set(p)
+        shared = [owner[x] for x in own if x in owner]
+        if len(shared) > COPY * len(own):
+            out[i] = max(set(shared), key=lambda g: (shared.count(g), -g))
+        else:
+            out[i], groups = groups, groups + 1
+        for x in own:
+            owner.setdefault(x, int(out[i]))
+    return out % 2
+
+
+def _passing(toxic: np.ndarray, ordinary: np.ndarray) -> int:
+    """The smallest distance that windows of toxic texts surpass RATIO times as often as those of ordinary ones."""
+    return next((t for t in range(1, 16) if (toxic > t).mean() > RATIO * (ordinary > t).mean()), 4)
+
+
+def _curve(x: np.ndarray, y: np.ndarray) -> dict:
+    """A logistic curve over features, and its mean loss."""
     mean, sd = x.mean(axis=0), x.std(axis=0) + 1e-9
     z = np.c_[np.ones(len(x)), (x - mean) / sd]
     w = np.zeros(z.shape[1])
-    for _ in range(60):
+    for _ in range(40):
         p = 1 / (1 + np.exp(-np.clip(z @ w, -30, 30)))
-        hessian = (z * (p * (1 - p))[:, None]).T @ z + 1e-2 * np.eye(len(w))
-        w -= np.linalg.solve(hessian, z.T @ (p - y) + 1e-2 * w)
-    return model | {"mean": mean, "sd": sd, "w": w}
-
+        hessian = (z * (p * (1 - p))[:, None]).T @ z + 0.1 * np.eye(len(w))
+        w -= np.linalg.solve(hessian, z.T @ (p - y) + 0.1 * w)
+    return {"mean": mean, "sd": sd, "w": w, "loss": float(np.logaddexp(0, np.where(y == 1, -(z @ w), z @ w)).mean())}
+
+
+def learn(pairs: list[tuple[str, int]]) -> list[dict]:
+    """For each fold its two dictionaries and the curve that the other fold's texts give them; none if a fold lacks a label."""
+    texts, y = [_lower(t) for t, _ in pairs], np.array([y for _, y in pairs])
+    passages = [PASSAGE.findall(b) for b in texts]
+    fold = folds(passages)
+    if any(len(set(y[fold == h].tolist())) < 2 for h in (0, 1)):
+        return []
+    # distances are kept once a distinct window
+    names: dict[bytes, int] = {}
+    rows = [np.array([names.setdefault(w, len(names)) for w in WINDOW.findall(b) or [b""]]) for b in texts]
+    windows = list(names)
+    mine = [np.flatnonzero(fold == h).tolist() for h in (0, 1)]
+    seen = [np.unique(np.concatenate([rows[i] for i in mine[h]])) for h in (0, 1)]
+    plain = [_train([p for i in mine[h] if not y[i] for p in passages[i]], ORDINARY_BYTES) for h in (0, 1)]
+    before = []
+    for h in (0, 1):
+        length, kept = _length(plain[h]), np.zeros(len(windows), dtype=np.int64)
+        kept[seen[1 - h]] = [length(windows[i]) for i in seen[1 - h].tolist()]
+        before.append(kept)
+    picked = [p if v else [] for p, v in zip(passages, y)]
+    best: list[dict] = [{"loss": np.inf}, {"loss": np.inf}]
+    for turn in range(ROUNDS):
+        trained = [_train([p for i in mine[h] for p in picked[i]], TOXIC_BYTES if turn else FIRST_BYTES) for h in (0, 1)]
+        for h in (0, 1):
+            other, length, saved = mine[1 - h], _length(trained[h]), before[h].copy()
+            saved[seen[1 - h]] -= [length(windows[i]) for i in seen[1 - h].tolist()]
+            distance = [saved[rows[i]] for i in other]
+            curve = _curve(np.array([features(d) for d in distance]), y[other])
+            if curve["loss"] < best[h]["loss"]:
+                best[h] = curve | {"ordinary": plain[h], "toxic": trained[h]}
+            least = _passing(np.concatenate([d for d, i in zip(distance, other) if y[i]]), np.concatenate([d for d, i in zip(distance, other) if not y[i]]))
+            for d, i in zip(distance, other):
+                if y[i]:
+                    picked[i] = _around(texts[i], [windows[k] for k in rows[i].tolist()], d > least)
+    return best
+
+
+def _around(text: bytes, windows: list[bytes], hit: np.ndarray) -> list[bytes]:
+    """The windows that are hit, with the 8 bytes before and after each."""
+    ends = np.cumsum([len(w) for w in windows])
+    return [text[max(0, e - len(windows[i]) - 8) : e + 8] for i, e in zip(np.flatnonzero(hit).tolist(), ends[hit].tolist())]
 
-def _measure(model: dict):
-    """A function from a text to what each of its windows saves; an empty text has one window that saves nothing."""
-    tune = zstandard.ZstdCompressionParameters(strategy=zstandard.STRATEGY_BTOPT, min_match=5, window_log=13, hash_log=13, chain_log=13, search_log=5, target_length=32, write_checksum=False, write_content_size=False, write_dict_id=False, format=zstandard.FORMAT_ZSTD1_MAGICLESS)
-    make = lambda raw: zstandard.ZstdCompressor(dict_data=zstandard.ZstdCompressionDict(raw, dict_type=zstandard.DICT_TYPE_RAWCONTENT), compression_params=tune).compress
-    plain, toxic = make(model["ordinary"]), make(model["toxic"] + model["ordinary"])
 
-    def measure(b: bytes) -> np.ndarray:
-        cuts = [b[i : i + SPAN] for i in range(0, max(1, len(b) - (SPAN - STRIDE)), STRIDE)]
-        return np.array([len(plain(c)) - len(toxic(c)) for c in cuts])
+def features(saved: np.ndarray) -> np.ndarray:
+    n, top = len(saved), THRESHOLDS[-1]
+    over = n - np.cumsum(np.bincount(np.clip(saved, 0, top), minlength=top + 1))[np.array(THRESHOLDS) - 1]
+    return np.concatenate([[saved.max(), saved.mean(), np.log(n)], np.log1p(over), np.sqrt(over / n)])
+
+
+def measures(model: list[dict]):
+    """A function from a text to what each of its windows saves, for each pair of dictionaries; an empty text has one empty window."""
+    pairs = [(_length(side["ordinary"]), _length(side["toxic"])) for side in model]
+    kept: dict[bytes, int] = {}  # both distances in one number
+
+    def measure(b: bytes) -> list[np.ndarray]:
+        windows = WINDOW.findall(b) or [b""]
+        if len(kept) > KEPT:
+            kept.clear()
+        for w in set(windows).difference(kept):
+            one, two = (ordinary(w) - toxic(w) for ordinary, toxic in pairs)
+            kept[w] = (one + 2**30 << 31) + two + 2**30
+        both = np.fromiter(map(kept.__getitem__, windows), dtype=np.int64, count=len(windows))
+        return [(both >> 31) - 2**30, (both & 2**31 - 1) - 2**30]
 
     return measure
 
 
-def features(saved: np.ndarray) -> np.ndarray:
-    over = [(saved >= k) for k in THRESHOLDS]
-    return np.array([saved.max(), saved.mean(), np.log(len(saved)), *[np.log1p(o.sum()) for o in over], *[np.sqrt(o.mean()) for o in over]])
-
-
-def _scorer(model: dict | None):
+def _scorer(model: list[dict]):
     def make():
-        measure = _measure(model) if model else None
+        measure = measures(model) if model else None
 
         def score(texts: list[str | None]) -> list[list]:
             if measure is None:
                 return [[0.0] * len(texts), [0] * len(texts)]
-            x = np.array([features(measure(_lower(t))) for t in texts])
-            z = model["w"][0] + ((x - model["mean"]) / model["sd"]) @ model["w"][1:]
-            p = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
+            z = np.zeros(len(texts))
+            for i, t in enumerate(texts):
+                for side, saved in zip(model, measure(_lower(t))):
+                    z[i] += side["w"][0] + ((features(saved) - side["mean"]) / side["sd"]) @ side["w"][1:]
+            p = 1 / (1 + np.exp(-np.clip(z / 2, -30, 30)))
             return [p.tolist(), (p >= 0.5).astype(int).tolist()]
 
         return score
@@ -141,16 +199,16 @@ def _scorer(model: dict | None):
 FIELDS = [T.StructField("score", T.DoubleType(), False), T.StructField("predicted", T.IntegerType(), False)]
 
 
-def score(df: DataFrame, model: dict | None, text_col: str = "text") -> DataFrame:
+def score(df: DataFrame, model: list[dict], text_col: str = "text") -> DataFrame:
     """Add score (0 to 1) and predicted (score >= 0.5) for each whole text; other columns stay.
 
-    Null and empty texts get the score of a text whose one window saves nothing; without a model all get 0. Equal texts
-    get equal scores, repeated rows stay; own columns of these names are replaced.
+    Null and empty texts get the score of a text of one empty window; with an empty model all get 0. Equal texts
+    get equal scores, repeated rows stay; an empty table gives an empty one; own columns of these names are replaced.
     """
     return append(df, text_col, FIELDS, _scorer(model))
 
 
-def fit(docs: DataFrame, labels: DataFrame) -> dict | None:
+def fit(docs: DataFrame, labels: DataFrame) -> list[dict]:
     """A model from the labelled documents whose crc32(doc_id) mod 5 is not 0."""
     return learn(sample(docs, labels, remainder("doc_id", 5) != 0))
 
@@ -164,6 +222,10 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents predicted toxic go. Columns stay as they are."""
+    """Documents predicted toxic go; columns stay as they are.
+
+    Without labels of both kinds nothing goes. Null and empty texts are scored as one empty window; repeated
+    rows stay or go together; an empty table gives an empty one; a null id learns nothing.
+    """
     model = fit(docs, table(spark, sf_dir, "labels"))
     return append(docs, "text", FIELDS, _scorer(model), keep=lambda c: [not p for p in c[1]])
