@@ -101,14 +101,11 @@ def test_packing(docs, rows, empty):
     path = public_tokenizers.path("word_bpe_49k.json")
     library = Tokenizer.from_file(path)
     got = packing.pack(packing.pieces(docs, path)).collect()
-    by_doc = defaultdict(list)
-    for r in got:
-        by_doc[r.rid].append(r)
     want = Counter()
     for i, t, *_ in rows:
         ids = [*library.encode(t or "", add_special_tokens=False).ids, 0]
-        want[(i, tuple((k, s, len(ids[s : s + 2048]), zlib.crc32(np.array(ids[s : s + 2048], dtype="<u4").tobytes())) for k, s in enumerate(range(0, len(ids), 2048))))] += 1
-    assert Counter((p[0].doc_id, tuple(sorted((r.piece, r.start, r.length, r.ids_crc32) for r in p))) for p in by_doc.values()) == want
+        want.update((i, k, s, len(ids[s : s + 2048]), zlib.crc32(np.array(ids[s : s + 2048], dtype="<u4").tobytes())) for k, s in enumerate(range(0, len(ids), 2048)))
+    assert Counter((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in got) == want
     bins = defaultdict(list)
     for r in got:
         bins[r.sequence_id].append((r.offset, r.length))
@@ -118,6 +115,16 @@ def test_packing(docs, rows, empty):
     total = sum(r.length for r in got)
     assert len(bins) <= -(-total // 2048) + 1
     assert packing.pack(packing.pieces(empty, path)).count() == 0
+    assert packing.stage(empty.sparkSession, empty, "").count() == 0
+    assert Counter(r[:5] for r in packing.stage(docs.sparkSession, docs, "").collect()) == want
+
+
+def test_packing_does_not_depend_on_the_layout(docs):
+    path = public_tokenizers.path("word_bpe_49k.json")
+    rows = docs.select("doc_id", "text").union(docs.select("doc_id", "text").where("doc_id < 20"))
+    ways = [rows.coalesce(1), rows.orderBy("doc_id").repartition(3), rows.repartition(7, "doc_id")]
+    got = [Counter(map(tuple, packing.pack(packing.pieces(w, path), shard=30, equals=1).collect())) for w in ways]
+    assert got[0] == got[1] == got[2]
 
 
 def test_sum_of_squares_takes_the_smallest_sum():

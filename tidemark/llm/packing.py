@@ -1,10 +1,10 @@
 """Best-fit packing by sums of squares.
 
 Documents become token ids by the tokenizers library, each ended by one id; only what is longer
-than a sequence is cut. Pieces are then spread over shards by a hash of (document, piece), so a hot
-key cannot fill one, and each shard of about SHARD pieces is packed alone: a piece goes where the
-sum over gaps of squared counts of open sequences with that gap becomes smallest. A shard wastes at
-most its last open sequences, whatever the number of shards.
+than a sequence is cut. Pieces are then numbered among their equals and spread over shards by a hash of
+all this, so that a hot key cannot fill one and the files' layout plays no part, and each shard of about
+SHARD pieces is packed alone: a piece goes where the sum over gaps of squared counts of open sequences with
+that gap becomes smallest. A shard wastes at most its last open sequences, whatever the number of shards.
 """
 
 from __future__ import annotations
@@ -22,8 +22,12 @@ from tidemark.llm.bpe import byte_letters
 from tidemark.llm.common import checkpoint, one_thread, reach, table
 
 SHARD = 50_000
-CACHE = 600_000
-PIECES = "rid long, doc_id long, piece int, start long, length long, ids_crc32 long"
+#: Characters of the pieces whose ids are kept, and of the texts that are cut at once (or one text).
+CACHE, STEP = 1_500_000, 1_000_000
+#: Equal pieces that are written out in one place.
+EQUALS = 1 << 16
+PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
+KEYS = [c.split()[0] for c in PIECES.split(", ")]
 #: Outside this, lower case, composition or character classes may differ between Python and the library.
 ODD = re.compile("[^\\x00-\\x1b\\x20-\\x7f\\xc0-\\xd6\\xd8-\\xf6\\xf8-\u012f\u0131-\u017f\u2010-\u2027]")
 #: The vocabulary's pre-tokenizer pattern (a fixed value) in re's classes, for lowered chunks.
@@ -53,6 +57,7 @@ class WordIds:
         self.model.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
         self.letters = byte_letters() | {32: " "}
         self.pieces: dict[str, bytes] = {}
+        self.held = 0
 
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
@@ -64,6 +69,7 @@ class WordIds:
             cuts = (4 * np.searchsorted(np.array(coded.word_ids), np.arange(len(part) + 1))).tolist()
             raw = np.array(coded.ids, dtype="<u4").tobytes()
             self.pieces.update(zip(part, [raw[a:b] for a, b in zip(cuts, cuts[1:])], strict=True))
+            self.held += sum(map(len, part))
 
     def cut(self, text: str) -> list[str] | None:
         if ODD.search(text) or "<|" in text:
@@ -78,9 +84,12 @@ class WordIds:
                 text = text.replace(sign, f" {sign} ")
         return text.split()
 
+    def free(self) -> None:
+        self.pieces, self.held = {}, 0
+
     def encode(self, texts: list[str]) -> list[bytes]:
-        if len(self.pieces) > CACHE:
-            self.pieces.clear()
+        if self.held > CACHE:
+            self.free()
         split = [self.cut(t) for t in texts]
         cache = self.pieces
         if missing := set().union(*[s for s in split if s]).difference(cache):
@@ -98,27 +107,40 @@ def load(path: str) -> WordIds:
 
 
 def pieces(df: DataFrame, path: str, capacity: int = 2048, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(rid, doc_id, piece, start, length, ids_crc32): the pieces of each row's ids and end id.
+    """(doc_id, piece, start, length, ids_crc32): the pieces of each row's ids and end id.
 
-    A null text is empty: one piece of the end id alone. rid tells rows apart, repeated ones too.
+    A null text is empty: one piece of the end id alone. Repeated rows give their pieces each.
     """
 
     def run(batches):
         words = load(path)
         end = np.array([end_id], dtype="<u4").tobytes()
         for batch in batches:
-            for at in range(0, batch.num_rows, 200):
-                part = batch.slice(at, 200)
-                rids, docs, texts = (part.column(i).to_pylist() for i in range(3))
+            docs = batch.column(0).to_pylist()
+            for at, texts in _steps(batch.column(1)):
                 out = []
-                for rid, doc, raw in zip(rids, docs, words.encode([t or "" for t in texts]), strict=True):
+                for doc, raw in zip(docs[at : at + len(texts)], words.encode(texts), strict=True):
                     raw += end
                     for k, start in enumerate(range(0, len(raw), 4 * capacity)):
                         cut = raw[start : start + 4 * capacity]
-                        out.append((rid, doc, k, start // 4, len(cut) // 4, zlib.crc32(cut)))
-                yield pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, t in zip(zip(*out), (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()), strict=True)], names=["rid", "doc_id", "piece", "start", "length", "ids_crc32"])
+                        out.append((doc, k, start // 4, len(cut) // 4, zlib.crc32(cut)))
+                yield pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, t in zip(zip(*out), (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()), strict=True)], names=KEYS)
+        words.free()
+
+    return reach(df).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, PIECES)
+
 
-    return reach(df).select(F.monotonically_increasing_id().alias("rid"), F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, PIECES)
+def _steps(column):
+    """(place, texts) of about STEP characters, nulls as empty texts."""
+    start, part, held = 0, [], 0
+    for i, value in enumerate(column):
+        part.append(value.as_py() or "")
+        held += len(part[-1])
+        if held >= STEP:
+            yield start, part
+            start, part, held = i + 1, [], 0
+    if part:
+        yield start, part
 
 
 def sum_of_squares(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
@@ -160,20 +182,26 @@ def sum_of_squares(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.n
     return sequence, offset
 
 
-def pack(cut: DataFrame, capacity: int = 2048, shard: int = SHARD) -> DataFrame:
+def pack(cut: DataFrame, capacity: int = 2048, shard: int = SHARD, equals: int = EQUALS) -> DataFrame:
     """Add sequence_id and offset to pieces; an empty table gives an empty one.
 
-    Ties and repeated rows are pieces like any other. Which pieces share a sequence depends on their ids only.
+    Ties are broken by all columns. Pieces equal in all of them (repeated rows) are packed like others and are
+    interchangeable, so the result depends on the rows only, not on how they are stored.
     """
     shards = max(1, -(-cut.count() // shard))
 
     def run(key, pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["rid", "piece"], kind="stable").reset_index(drop=True)
+        pdf = pdf.sort_values([*KEYS, "nth"], kind="stable").reset_index(drop=True)
         sequence, pdf["offset"] = sum_of_squares(pdf["length"].to_numpy(), capacity)
         pdf["sequence_id"] = (np.int64(key[0]) << 32) + sequence
-        return pdf[["rid", "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]]
+        return pdf[[*KEYS, "sequence_id", "offset"]]
 
-    return cut.groupBy(F.pmod(F.xxhash64("rid", "piece"), F.lit(shards)).alias("shard")).applyInPandas(run, "rid long, doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long")
+    # equal pieces are counted, and written out again in blocks that lie apart
+    groups = cut.groupBy(*KEYS).agg(F.count("*").alias("n")).withColumn("block", F.explode(F.expr(f"sequence(0, (n - 1) div {equals})")))
+    rows = groups.repartition(*KEYS, "block").withColumn("nth", F.explode(F.expr(f"sequence(block * {equals}, least(n, (block + 1) * {equals}) - 1)")))
+    # a row of a null id or with other nulls is hashed like any other
+    dealt = rows.select(*KEYS, "nth", F.pmod(F.xxhash64(*KEYS, "nth"), F.lit(shards)).alias("shard"))
+    return dealt.groupBy("shard").applyInPandas(run, PIECES + ", sequence_id long, offset long")
 
 
 def op8_packing(spark: SparkSession, sf_dir: str, path: str | None = None, capacity: int = 2048) -> DataFrame:
@@ -183,11 +211,11 @@ def op8_packing(spark: SparkSession, sf_dir: str, path: str | None = None, capac
 
         path = public_tokenizers.path("word_bpe_49k.json")
     cut = checkpoint(pieces(table(spark, sf_dir, "documents"), path, capacity))
-    return pack(cut, capacity).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+    return pack(cut, capacity)
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents that come in, packed."""
+    """All documents that come in, packed: null and empty texts as one end id, repeated rows each; an empty table gives an empty one."""
     import public_tokenizers
 
-    return pack(checkpoint(pieces(docs, public_tokenizers.path("word_bpe_49k.json")))).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+    return pack(checkpoint(pieces(docs, public_tokenizers.path("word_bpe_49k.json"))))
