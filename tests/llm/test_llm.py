@@ -349,6 +349,82 @@ def test_fingerprints(docs, rows, empty):
     assert fingerprints.edited(docs.where("doc_id = 3")).first().near_next == 1.0
 
 
+def plain_fingerprint(text: str, place: int = fingerprints.PLACE) -> str:
+    """By the definition, with plain loops; hashes as Spark's xxhash64 and hash give them."""
+    import struct
+
+    import xxhash
+
+    def xx(*values):
+        seed = 42
+        for v in values:
+            raw = v.encode() if isinstance(v, str) else struct.pack("<i", v) if -(2**31) <= v < 2**31 and isinstance(v, np.int32) else struct.pack("<q", int(v))
+            seed = xxhash.xxh64_intdigest(raw, seed=seed)
+        return seed
+
+    def murmur(values):
+        rot = lambda x, r: ((x << r) | (x >> (32 - r))) & 0xFFFFFFFF
+        h = 42
+        for v in values:
+            for part in (v & 0xFFFFFFFF, v >> 32 & 0xFFFFFFFF):
+                k = rot(part * 0xCC9E2D51 & 0xFFFFFFFF, 15) * 0x1B873593 & 0xFFFFFFFF
+                h = (rot(h ^ k, 13) * 5 + 0xE6546B64) & 0xFFFFFFFF
+            h ^= 8
+            h = (h ^ h >> 16) * 0x85EBCA6B & 0xFFFFFFFF
+            h = (h ^ h >> 13) * 0xC2B2AE35 & 0xFFFFFFFF
+            h ^= h >> 16
+        return h
+
+    white = " \t\n\x0b\f\r"
+    cut, i = [], 0
+    while i < len(text):
+        j = i
+        while j < len(text) and text[j] not in white:
+            j += 1
+        k = j
+        while k < len(text) and text[k] in white:
+            k += 1
+        if j - i <= fingerprints.WORD:
+            cut.append(text[i:k])
+        else:
+            cut += [text[x : x + fingerprints.GRAIN] if x + fingerprints.GRAIN < j else text[x:k] for x in range(i, j)]
+        i = k
+    step = 1 if len(cut) < 2**place else 1 + len(cut) // 2**place
+    mask = (1 << 63 - place) - 1
+    seen, bins = Counter(), defaultdict(list)
+    order = sorted((xx(a, b) & mask, n // step) for n, (a, b) in enumerate(zip(cut, [*cut[1:], ""])))
+    for h, at in order:
+        seen[h] += 1
+        bins[(x := xx(h, np.int32(seen[h])) & mask) >> (63 - place - fingerprints.BINS.bit_length() + 1)].append((x, at))
+    out = []
+    for b in range(fingerprints.BINS):
+        taken = sorted(bins[b])[: fingerprints.TAKE]
+        out.append("%08x" % murmur([x for x, _ in sorted(taken, key=lambda y: (y[1], y[0]))]) if taken else fingerprints.EMPTY)
+    return "".join(out)
+
+
+@pytest.mark.parametrize("place", [fingerprints.PLACE, 5])
+def test_fingerprints_equal_the_definition(spark, place):
+    rng = random.Random(9)
+    texts = [prose(i, 20 + 30 * i) for i in range(8)] + ["a b " * 300, " lead", "x" * 25, "x" * 24 + "\n" + "y" * 60, "".join(chr(rng.randrange(0x4E00, 0x9FA5)) for _ in range(300)), "", "\t \n", "one"]
+    df = fingerprints.fingerprint(spark.createDataFrame([(t,) for t in texts], "a string"), "a", "f", place)
+    got = {r.a: r.f for r in df.collect()}
+    assert [t[:20] for t in texts if got[t] != plain_fingerprint(t, place)] == []
+
+
+def test_fingerprints_of_repeated_rows_and_many_ranges(spark):
+    rows = [(i if i % 3 else None, f"text number {i % 50} of some") for i in range(400)] + [(7, "again and again")] * 50
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = fingerprints.edited(df, equals=8).collect()
+    assert Counter(r.doc_id for r in got) == Counter(i for i, _ in rows)
+    assert len({r for r in got if r.doc_id == 7}) == 2  # equal rows have equal results
+    keys = spark.createDataFrame([(k, h) for k in (5, -3, 2**62, -(2**63)) for h in (-(2**63), -1, 0, 2**63 - 1)], "kid long, th long")
+    order = sorted(((r.kid, r.th) for r in keys.collect()), key=lambda x: (-x[0], x[1]))
+    for per in (1, 3, 100):
+        near = {(r.kid, r.th): (r.next_kid, r.next_th) for r in fingerprints.neighbours(keys, per).collect()}
+        assert near == dict(zip(order, order[1:] + order[:1]))
+
+
 def test_fingerprints_follow_order(spark):
     words = prose(1, 400).split()
     half = len(words) // 2
