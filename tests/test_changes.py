@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import itertools
 import json
+import re
+from dataclasses import replace
 from datetime import date
 from decimal import Decimal
 
@@ -176,20 +178,28 @@ def test_config(tmp_path):
     path.write_text("# comment\nsink.mode=CSV\ntopic.prefix = tide\nconsumer.capture_database=shop\nconsumer.include_tables=a, b\nsink.csv.enable_header=true\ntransaction.timeout=300\nunknown=1\nvalue.deserializer=x.AvroThing\n")
     c = config.from_args(["-c", str(path)])
     assert (c.sink_mode, c.topic_prefix, c.include_tables, c.csv_header, c.transaction_timeout, c.value_format) == ("CSV", "tide", ("a", "b"), True, 300, "avro")
-    assert E.kafka_options(c)["subscribePattern"] == r"tide\.shop\..*"
-    assert E.kafka_options(c, transactions=True)["subscribe"] == "tide.transaction"
+    options = E.kafka_options(replace(c, include_tables=()))
+    assert re.fullmatch(options["subscribePattern"], "tide.shop.orders") and not re.fullmatch(options["subscribePattern"], "tide.shopping.x")
+    assert "maxOffsetsPerTrigger" not in options
+    some = E.kafka_options(replace(c, include_tables=("orders", "part"), max_offsets_per_trigger=9))
+    assert re.fullmatch(some["subscribePattern"], "tide.shop.part") and not re.fullmatch(some["subscribePattern"], "tide.shop.parts")
+    assert some["maxOffsetsPerTrigger"] == "9"
+    assert options["kafka.group.id"] != E.kafka_options(c, E.TRANSACTIONS)["kafka.group.id"]
+    with pytest.raises(ValueError):
+        E.kafka_options(c, "other")
+    assert E.kafka_options(c, E.TRANSACTIONS)["subscribe"] == "tide.transaction"
     with pytest.raises(Exception):
         c.sink_mode = "x"
 
 
 def test_entry_without_the_corpus_package(monkeypatch):
-    import importlib
-    import sys
+    import importlib.util
 
     import __spark_entry__
 
-    monkeypatch.setitem(sys.modules, "tidemark.llm", None)
+    found = importlib.util.find_spec
+    monkeypatch.setattr(importlib.util, "find_spec", lambda name: None if name in ("tidemark.llm", "corpus_pipeline") else found(name))
     again = importlib.reload(__spark_entry__)
-    assert again.llm_catalog is None and "replay_orders" in again.queries()
+    assert "replay_orders" in again.queries() and not any(n.startswith("op1_") or n == "pipeline" for n in again.queries())
     monkeypatch.undo()
     importlib.reload(__spark_entry__)

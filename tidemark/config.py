@@ -8,7 +8,10 @@ from dataclasses import dataclass, fields, replace
 
 @dataclass(frozen=True)
 class Config:
-    """Durations are milliseconds. include_tables empty: all tables."""
+    """Durations are milliseconds, also in files, whose shipped value of the transaction timeout is as low as 300.
+
+    include_tables empty: all tables. source_path: folders of files in Kafka's place. max_offsets_per_trigger 0: no bound.
+    """
 
     sink_mode: str = "csv"
     csv_path: str = "./data"
@@ -22,8 +25,10 @@ class Config:
     transaction_topic_suffix: str = "transaction"
     transaction_group_id: str = "transaction_consumer"
     transaction_timeout: int = 300_000
-    registry_url: str = ""
-    max_offsets_per_trigger: int = 500
+    schema_folder: str = ""
+    source_path: str = ""
+    state_path: str = ""
+    max_offsets_per_trigger: int = 0
     flush_interval_ms: int = 5000
     max_retries: int = 3
     monitor_enabled: bool = True
@@ -43,8 +48,10 @@ PROPERTIES = {
     "transaction.topic.suffix": "transaction_topic_suffix",
     "transaction.topic.group_id": "transaction_group_id",
     "transaction.timeout": "transaction_timeout",
-    "sink.registry.url": "registry_url",
-    "sink.batch.size": "max_offsets_per_trigger",
+    "sink.schema.folder": "schema_folder",
+    "source.path": "source_path",
+    "sink.state.path": "state_path",
+    "source.max_offsets_per_trigger": "max_offsets_per_trigger",
     "sink.flush.interval.ms": "flush_interval_ms",
     "sink.max.retries": "max_retries",
     "sink.monitor.enabled": "monitor_enabled",

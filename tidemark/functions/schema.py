@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import json
+from pathlib import Path
 
 from pyspark.sql import types as T
 
+#: Names of types on the wire and Spark's types for them (fixed values, as are the logical names below).
 CONNECT = {"int8": T.ByteType, "int16": T.ShortType, "int32": T.IntegerType, "int64": T.LongType, "float": T.FloatType, "float32": T.FloatType, "double": T.DoubleType, "float64": T.DoubleType, "boolean": T.BooleanType, "string": T.StringType, "bytes": T.BinaryType}
 AVRO = {"int": T.IntegerType, "long": T.LongType, "float": T.FloatType, "double": T.DoubleType, "boolean": T.BooleanType, "string": T.StringType, "bytes": T.BinaryType, "fixed": T.BinaryType, "enum": T.StringType}
 
@@ -17,7 +19,7 @@ class SchemaError(ValueError):
 def connect_type(node: dict) -> T.DataType:
     """Type of a Connect schema node: logical names first, unknown ones fall back to the physical type."""
     if "type" not in node:
-        raise SchemaError("Field is missing required 'type' property")
+        raise SchemaError(f"no type given for {node.get('field') or node}")
     kind, name, given = node["type"], node.get("name", ""), node.get("parameters") or {}
     if name == "org.apache.kafka.connect.data.Decimal":
         return T.DecimalType(int(given.get("connect.decimal.precision", 38)), int(given.get("scale", 0)))
@@ -84,8 +86,12 @@ class Registry:
 
     def __init__(self):
         self._rows: dict[tuple[str, str], tuple[T.StructType, tuple[str, ...]]] = {}
+        self.avro: dict[tuple[str, str], str] = {}
 
-    def put(self, database: str, table: str, row: T.StructType, keys: tuple[str, ...]) -> None:
+    def put(self, database: str, table: str, row: T.StructType, keys: tuple[str, ...], unique: bool = True) -> None:
+        """unique: whether the key columns are declared unique; others can't tell rows apart and are rejected."""
+        if not unique or not keys:
+            raise SchemaError(f"{database}.{table} has no unique key")
         names = {f.name.lower() for f in row.fields}
         if missing := [k for k in keys if k.lower() not in names]:
             raise SchemaError(f"key columns are not in the row: {missing}")
@@ -96,3 +102,20 @@ class Registry:
 
     def tables(self) -> list[tuple[str, str]]:
         return sorted(self._rows)
+
+    @classmethod
+    def from_folder(cls, folder: str, database: str) -> Registry:
+        """Files <table>.json: {"keys": [...], "unique": true, "schema": envelope schema of the connector or, under "avro", an Avro one}."""
+        made = cls()
+        for file in sorted(Path(folder).glob("*.json")):
+            told = json.loads(file.read_text(encoding="utf-8"))
+            if "avro" in told:
+                image = next((f for f in told["avro"]["fields"] if f["name"] == "after"), None)
+                row = avro_type(image["type"]) if image else None
+            else:
+                row = connect_row(told["schema"])
+            if not isinstance(row, T.StructType):
+                raise SchemaError(f"{file.name} describes no row")
+            made.put(database, file.stem, row, tuple(told["keys"]), told.get("unique", True))
+            made.avro[database.lower(), file.stem.lower()] = json.dumps(told["avro"]) if "avro" in told else ""
+        return made

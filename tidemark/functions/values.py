@@ -83,6 +83,26 @@ def wire(kind: T.DataType) -> T.DataType:
     return kind
 
 
+def avro_value(c: Column, sent: T.DataType, kind: T.DataType, trim: bool = True) -> Column:
+    """A value of an Avro record as the row's type: logical types are there already, others come in their physical form."""
+    if isinstance(sent, T.BinaryType) and isinstance(kind, T.DecimalType):
+        return decode_decimal(F.base64(c), kind.precision, kind.scale)
+    if isinstance(sent, T.IntegerType) and isinstance(kind, T.DateType):
+        return F.date_from_unix_date(c)
+    if isinstance(sent, T.LongType) and isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+        return F.timestamp_micros(c).cast(kind)
+    if isinstance(kind, T.StringType) and trim:
+        return trimmed(c.cast(kind))
+    return c.cast(kind)
+
+
+def avro_image(image: Column, sent: T.StructType, row: T.StructType, trim: bool = True) -> Column:
+    """A before or after record as the row's struct; null stays null, absent fields are null."""
+    have = {f.name.lower(): f for f in sent.fields}
+    one = lambda f: avro_value(image[have[f.name.lower()].name], have[f.name.lower()].dataType, f.dataType, trim) if f.name.lower() in have else F.lit(None).cast(f.dataType)
+    return F.when(image.isNotNull(), F.struct(*[one(f).alias(f.name) for f in row.fields]))
+
+
 def decode(c: Column, kind: T.DataType, trim: bool = True) -> Column:
     if isinstance(kind, T.DecimalType):
         return decode_decimal(c, kind.precision, kind.scale)

@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.values import java_hash
+
 
 def index_key(columns: list[str]) -> Column:
     return F.concat_ws(":", *[F.col(c).cast("string") for c in columns])
@@ -33,6 +35,17 @@ def _steps(changes: DataFrame, keys: list[str], order: str) -> DataFrame:
     return changes.where("op IN ('INSERT', 'SNAPSHOT', 'UPDATE', 'DELETE')").select(F.explode(each).alias("x")).select("x.*")
 
 
+def fold(state: DataFrame | None, changes: DataFrame, keys: list[str], order: str) -> DataFrame:
+    """(key, order, image) of every key ever seen, image null once deleted, from such a state and further changes.
+
+    The larger order wins wherever it stands, so changes that come late, twice or in another order give the same state.
+    """
+    steps = _steps(changes, keys, order)
+    both = steps if state is None else state.unionByName(steps)
+    last = both.groupBy("key").agg(F.max_by(F.struct("order", "image"), "order").alias("m"))
+    return last.select("key", F.col("m.order").alias("order"), F.col("m.image").alias("image"))
+
+
 def latest(changes: DataFrame, keys: list[str], order: str) -> DataFrame:
     """(key, image): each key's last state, image null if it was deleted. One shuffle on the key, partial sums before it."""
     last = _steps(changes, keys, order).groupBy("key").agg(F.max_by(F.struct("image"), "order").alias("m"))
@@ -49,3 +62,8 @@ def merge(target: DataFrame, changes: DataFrame, keys: list[str], order: str) ->
     last = latest(changes, keys, order)
     touched = last.select(*[F.col(f"key.{k}").alias(k) for k in keys])
     return target.join(touched, keys, "left_anti").unionByName(last.where("image IS NOT NULL").select("image.*"))
+
+
+def with_transaction(events: DataFrame) -> DataFrame:
+    """Events with `_tx_order` and `_tx_hash`: the place in their transaction and a hash of its id; null without one."""
+    return events.withColumns({"_tx_order": F.col("transaction.total_order"), "_tx_hash": java_hash(F.col("transaction.id"))})

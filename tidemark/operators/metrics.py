@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQueryListener
 
 #: Quantiles and the accuracy that percentile_approx needs for their allowed errors (fixed values).
 QUANTILES = {0.5: 20, 0.75: 100, 0.95: 200, 0.99: 1000}
@@ -34,3 +35,35 @@ def latency(df: DataFrame, column: str, by: list[str], exact: bool = False) -> D
     """p50, p75, p95 and p99 of a latency; approximate ones within the allowed errors."""
     one = lambda q, a: F.percentile(column, q) if exact else F.percentile_approx(column, q, a)
     return df.groupBy(*by).agg(*[one(q, a).alias(f"p{round(100 * q)}") for q, a in QUANTILES.items()])
+
+
+def total_latency(events: DataFrame, now_ms: Column, exact: bool = False) -> DataFrame:
+    """Quantiles of the time from a change to now_ms, by table and operation."""
+    return latency(events.withColumn("__ms", now_ms - F.col("ts_ms")), "__ms", ["table", "op"], exact)
+
+
+class Progress(StreamingQueryListener):
+    """Keeps the durations of each micro-batch: write latency (addBatch) and what goes to offsets, planning and commits."""
+
+    def __init__(self):
+        self.rows: list[tuple] = []
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        p = event.progress
+        self.rows += [(str(p.id), int(p.batchId), int(p.numInputRows), step, int(ms)) for step, ms in p.durationMs.items()]
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass
+
+    def frame(self, spark: SparkSession) -> DataFrame:
+        """(query, batch, rows, step, ms)"""
+        return spark.createDataFrame(self.rows, "query string, batch bigint, rows bigint, step string, ms bigint")
+
+    def latencies(self, spark: SparkSession) -> DataFrame:
+        return latency(self.frame(spark), "ms", ["step"], exact=True)

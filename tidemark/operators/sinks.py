@@ -50,3 +50,18 @@ def write_parquet(events: DataFrame, path: str, columns: list[str], header: bool
 @writer("memory")
 def write_memory(events: DataFrame, path: str, columns: list[str], header: bool = False, separator: str = "|", mode: str = "append") -> None:
     events.where("op <> 'DELETE'").select("after.*").select(*columns).createOrReplaceTempView(path)
+
+
+def table_path(path: str, database: str, table: str) -> str:
+    return f"{path}/{database}/{table}"
+
+
+def write_tables(tables: dict[tuple[str, str], DataFrame], path: str, mode: str = "csv", header: bool = False, batch: int | None = None) -> None:
+    """Typed events of each (database, table) below <path>/<database>/<table>; a batch that is written again replaces itself."""
+    for (database, table), events in tables.items():
+        at = table_path(path, database, table)
+        columns = events.schema["after"].dataType.names
+        if batch is None or mode.lower() == "memory":
+            writer_for(mode)(events, at if mode.lower() != "memory" else table, columns, header=header)
+        else:
+            writer_for(mode)(events, f"{at}/batch={batch}", columns, header=header, mode="overwrite")

@@ -8,6 +8,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tidemark.sources.folders import fresh
 
 
 def collection_table(name: Column) -> Column:
@@ -75,14 +78,16 @@ def cursors(events: DataFrame) -> DataFrame:
 def ranked(df: DataFrame, order: str, tie: str, name: str, per_bucket: int = 1_000_000) -> DataFrame:
     """Add name: 1, 2, ... by (order, tie), without ordering all rows in one task.
 
-    Rows are dealt between approximate quantiles of `order` and numbered inside each; the buckets' sizes are added up.
+    Rows are dealt into ranges of about per_bucket rows (or the root of their number, if that is more) and numbered inside
+    each; the ranges' sizes are added up. The ranges are written, as both uses must see the same ones.
     """
-    parts = min(512, max(1, -(-df.count() // per_bucket)))
-    bounds = sorted(set(df.agg(F.percentile_approx(order, [i / parts for i in range(1, parts)], 10_000)).first()[0])) if parts > 1 else []
-    bucket = F.size(F.filter(F.array(*map(F.lit, bounds)), lambda b: b < F.col(order))) if bounds else F.lit(0)
-    rows = df.withColumn("__bucket", bucket)
-    sizes = rows.groupBy("__bucket").agg(F.count("*").alias("__size"))  # 512 rows at most
-    w = Window.orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
+    spark, path = df.sparkSession, fresh(df.sparkSession)
+    n = df.count()
+    parts = max(1, -(-n // max(per_bucket, int(n**0.5))))
+    df.repartitionByRange(parts, order, tie).withColumn("__bucket", F.spark_partition_id()).write.parquet(path)
+    rows = spark.read.schema(T.StructType([*df.schema.fields, T.StructField("__bucket", T.IntegerType())])).parquet(path)
+    sizes = rows.groupBy("__bucket").agg(F.count("*").alias("__size"))
+    w = Window.orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)  # of `parts` rows
     sizes = sizes.select("__bucket", F.coalesce(F.sum("__size").over(w), F.lit(0)).alias("__before"))
     inside = F.row_number().over(Window.partitionBy("__bucket").orderBy(order, tie))
     return rows.join(F.broadcast(sizes), "__bucket").withColumn(name, (inside + F.col("__before")).cast("long")).drop("__bucket", "__before")

@@ -7,22 +7,24 @@ X(lineitem): a transaction for each order, its rows numbered over all columns.
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.config import Config
 from tidemark.functions import values as V
+from tidemark.functions.schema import Registry
 from tidemark.operators import apply as A
 from tidemark.operators import metrics as M
 from tidemark.operators import routing as R
 from tidemark.operators import sinks as S
 from tidemark.operators import transactions as X
 from tidemark.sources import envelopes as E
+from tidemark.sources.folders import fresh
 from tidemark.streaming import assembler as Z
+from tidemark.streaming.ingest import Ingestion
 
 QUERIES: dict[str, Callable] = {}
 ORACLES: dict[str, str] = {}
@@ -50,19 +52,12 @@ def read(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return df
 
 
-def folder(spark: SparkSession) -> str:
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="tidemark-")
-    return f"{base}/tidemark-{uuid.uuid4().hex}"
-
-
 def snapshot(spark: SparkSession, sf: str, name: str) -> tuple[DataFrame, T.StructType]:
     df = read(spark, sf, name)
     log = E.encode_changes(df, F.lit("r"), name, None, E.image(df.schema), F.lit(1))
     return E.decode_changes(log), df.schema
 
 
-
-
 #: Columns of the tables that are read back whole, and the SQL type of those that read() casts.
 TABLES = {
     "region": "r_regionkey, r_name",
@@ -107,6 +102,68 @@ def decode_trim(spark, sf):
     return E.typed(E.decode_changes(log), df.schema).select("after.*")
 
 
+@query("decode_trim_both", "SELECT c_custkey, c_name FROM customer")
+def decode_trim_both(spark, sf):
+    df = read(spark, sf, "customer").select("c_custkey", F.concat(F.lit(" \t\n "), "c_name", F.lit(" \r\x01 ")).alias("c_name"))
+    log = E.encode_changes(df, F.lit("r"), "customer", None, E.image(df.schema), F.lit(1))
+    return E.typed(E.decode_changes(log), df.schema).select("after.*")
+
+
+@query("decode_binary", "SELECT c_custkey, hex(c_name) AS raw, CAST(NULL AS VARCHAR) AS none FROM customer")
+def decode_binary(spark, sf):
+    df = read(spark, sf, "customer").select("c_custkey", F.col("c_name").cast("binary").alias("raw"), F.lit(None).cast("binary").alias("none"))
+    log = E.encode_changes(df, F.lit("r"), "customer", None, E.image(df.schema), F.lit(1))
+    return E.typed(E.decode_changes(log), df.schema).select("after.c_custkey", F.hex("after.raw").alias("raw"), F.hex("after.none").alias("none"))
+
+
+@query("decode_short_decimal", "SELECT o_orderkey, CAST(-CAST(o_totalprice AS DECIMAL(15,2)) AS DECIMAL(15,2)) AS n, CAST(o_custkey % 3 - 1 AS DECIMAL(15,2)) AS s, CAST(CAST(o_totalprice AS DECIMAL(15,2)) AS DECIMAL(38,2)) AS large FROM orders")
+def decode_short_decimal(spark, sf):
+    """Decimals in as few bytes as hold them, as connectors send them."""
+    df = read(spark, sf, "orders")
+    short = lambda c: F.base64(F.unhex(F.regexp_replace(F.hex(F.unbase64(V.encode_decimal(c, 2))), "^(00)+(?=[0-7].)|^(FF)+(?=[89A-F].)", "")))
+    back = lambda c, p: V.decode_decimal(short(c.cast(MONEY)), p, 2)
+    return df.select("o_orderkey", back(-F.col("o_totalprice"), 15).alias("n"), back(F.col("o_custkey") % 3 - 1, 15).alias("s"), back(F.col("o_totalprice"), 38).alias("large"))
+
+
+@query("decode_avro", f"SELECT {TABLES['orders']} FROM orders")
+def decode_avro(spark, sf):
+    """Records as the Avro reader gives them, decimals as bytes, dates as days and names in upper case."""
+    df = read(spark, sf, "orders")
+    sent = {f.name: F.unbase64(V.encode_decimal(F.col(f.name), 2)) if isinstance(f.dataType, T.DecimalType) else F.unix_date(f.name) if isinstance(f.dataType, T.DateType) else F.col(f.name) for f in df.schema.fields}
+    event = F.struct(F.lit(None).cast("struct<O_ORDERKEY:bigint>").alias("before"), F.struct(*[c.alias(n.upper()) for n, c in sent.items()]).alias("after"), F.struct(F.lit("shop").alias("db"), F.lit("orders").alias("table")).alias("source"), F.lit("r").alias("op"), F.lit(1).cast("long").alias("ts_ms"))
+    return E.decode_avro_changes(df.select(F.lit("tide.shop.orders").alias("topic"), F.lit(b"x").alias("value"), event.alias("event")), df.schema).select("after.*")
+
+
+@query("decode_avro_transactions", "SELECT 'tx' || l_orderkey AS tx_id, count(*) AS expected FROM lineitem GROUP BY 1")
+def decode_avro_transactions(spark, sf):
+    each = spark.read.parquet(f"{sf}/lineitem.parquet").groupBy("l_orderkey").agg(F.count("*").alias("n"))
+    told = F.array(F.struct(F.lit("shop.lineitem").alias("data_collection"), F.col("n").alias("event_count")))
+    event = F.struct(F.lit("END").alias("status"), F.concat(F.lit("tx"), "l_orderkey").alias("id"), F.lit(1).cast("long").alias("ts_ms"), told.alias("data_collections"))
+    got = E.decode_avro_metadata(each.select(F.lit(b"x").alias("value"), event.alias("event")))
+    return got.where("status = 'END'").select(F.col("id").alias("tx_id"), F.col("data_collections")[0]["event_count"].alias("expected"))
+
+
+@query("tombstones_tx", "SELECT count(*) AS n FROM orders WHERE o_orderkey % 4 > 1")
+def tombstones_tx(spark, sf):
+    told = F.to_json(F.struct(F.struct(F.lit("BEGIN").alias("status"), F.col("o_orderkey").cast("string").alias("id")).alias("payload"))).cast("binary")
+    value = F.when(F.col("o_orderkey") % 4 == 0, F.lit(None)).when(F.col("o_orderkey") % 4 == 1, F.lit(b"")).otherwise(told)
+    return E.decode_metadata(read(spark, sf, "orders").select(value.alias("value"))).agg(F.count("*").alias("n"))
+
+
+@query("source_info", "SELECT o_orderkey, 'shop' AS name, 'shop' AS db, 'orders' AS \"table\", '' AS version, CAST(0 AS BIGINT) AS lsn, o_orderkey AS ts_ms FROM orders")
+def source_info(spark, sf):
+    df = read(spark, sf, "orders")
+    log = E.encode_changes(df, F.lit("r"), "orders", None, E.image(df.schema), F.col("o_orderkey"))
+    got = E.typed(E.decode_changes(log), df.schema)
+    return got.select("after.o_orderkey", *[F.col(f"source.{n}").alias(n) for n in ("name", "db", "table", "version", "lsn", "ts_ms")])
+
+
+@query("current_row", "SELECT 'DELETE' AS op, o_orderkey, o_orderstatus FROM orders WHERE o_orderkey % 11 = 0 UNION ALL SELECT 'UPDATE', o_orderkey, 'U' FROM orders WHERE o_orderkey % 7 = 0 UNION ALL SELECT 'SNAPSHOT', o_orderkey, o_orderstatus FROM orders")
+def current_row(spark, sf):
+    """The image that each event is about: before of deletes, after of others."""
+    return E.current(orders_log(spark, sf)[0]).select("op", "row.o_orderkey", "row.o_orderstatus")
+
+
 @query("decode_null", "SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN NULL ELSE o_orderstatus END AS o_orderstatus, CASE WHEN o_orderkey % 5 = 0 THEN NULL ELSE CAST(o_totalprice AS DECIMAL(15,2)) END AS o_totalprice, CAST(NULL AS INTEGER) AS absent FROM orders")
 def decode_null(spark, sf):
     df = read(spark, sf, "orders").select("o_orderkey", F.when(F.col("o_orderkey") % 3 != 0, F.col("o_orderstatus")).alias("o_orderstatus"), F.when(F.col("o_orderkey") % 5 != 0, F.col("o_totalprice")).alias("o_totalprice"))
@@ -391,21 +448,38 @@ def csv_sink_lines(spark, sf):
 @query("csv_sink_roundtrip", f"SELECT {TABLES['customer']} FROM customer")
 def csv_sink_roundtrip(spark, sf):
     log, row = snapshot(spark, sf, "customer")
-    path = folder(spark)
+    path = fresh(spark)
     S.writer_for("CSV")(E.typed(log, row), path, row.names, header=True)
     return spark.read.schema(row).options(sep="|", header="true").csv(path)
 
 
-@query("csv_header", "SELECT 'n_nationkey|n_name|n_regionkey' AS header")
+@query("csv_header", "SELECT 'n_nationkey|n_name|n_regionkey' AS header UNION ALL SELECT n_nationkey || '|' || n_name || '|' || n_regionkey FROM nation")
 def csv_header(spark, sf):
-    row = read(spark, sf, "nation").schema
-    return spark.range(1).select(F.lit(S.csv_header(row.names)).alias("header"))
+    """The lines of a written file, header first."""
+    log, row = snapshot(spark, sf, "nation")
+    path = fresh(spark)
+    S.writer_for("csv")(E.typed(log, row).coalesce(1), path, row.names, header=True)
+    return spark.read.text(path).select(F.col("value").alias("header"))
+
+
+@query("csv_tables", f"SELECT 'customer' AS \"table\", c_custkey AS k, c_name AS name FROM customer UNION ALL SELECT 'supplier', s_suppkey, s_name FROM supplier")
+def csv_tables(spark, sf):
+    """Two tables written below <path>/<database>/<table> in one go, a batch twice, and read back."""
+    path, made = fresh(spark), {}
+    for name in ("customer", "supplier"):
+        log, row = snapshot(spark, sf, name)
+        made["shop", name] = E.typed(log, row)
+    for _ in range(2):
+        S.write_tables(made, path, "csv", batch=0)
+    parts = [spark.read.schema(made["shop", n].schema["after"].dataType).options(sep="|").csv(f"{S.table_path(path, 'shop', n)}/batch=0").select(F.lit(n).alias("table"), F.col("s_suppkey").alias("k"), F.col("s_name").alias("name")) for n in ("supplier",)]
+    custom = spark.read.schema(made["shop", "customer"].schema["after"].dataType).options(sep="|").csv(f"{S.table_path(path, 'shop', 'customer')}/batch=0")
+    return custom.select(F.lit("customer").alias("table"), F.col("c_custkey").alias("k"), F.col("c_name").alias("name")).union(parts[0])
 
 
 @query("parquet_sink_roundtrip", f"SELECT {TABLES['supplier']} FROM supplier")
 def parquet_sink_roundtrip(spark, sf):
     log, row = snapshot(spark, sf, "supplier")
-    path = folder(spark)
+    path = fresh(spark)
     S.writer_for("parquet")(E.typed(log, row), path, row.names)
     return spark.read.schema(row).parquet(path)
 
@@ -413,18 +487,18 @@ def parquet_sink_roundtrip(spark, sf):
 @query("stream_tx_assembly", ORACLES["tx_committed_rows"])
 def stream_tx_assembly(spark, sf):
     """Rows in three files, in no order of transactions; BEGIN and END come with the second."""
-    path = folder(spark)
+    path = fresh(spark)
     rows, told = tx_log(spark, sf, "l_linenumber <> 3")
     parts = [rows.where("total_order % 3 = 0"), rows.where("total_order % 3 = 1"), rows.where("total_order % 3 = 2")]
     for k, part in enumerate(parts):
         Z.items(part, told if k == 1 else told.where("false")).coalesce(1).write.mode("append").parquet(f"{path}/in")
     stream = spark.readStream.schema(Z.ITEM).option("maxFilesPerTrigger", 1).parquet(f"{path}/in")
-    return Z.assemble(stream, f"{path}/out").select("tx_id", "total_order", F.col("body").cast("int").alias("l_linenumber"))
+    return Z.assemble(stream, f"{path}/out", timeout_ms=None).select("tx_id", "total_order", F.col("body").cast("int").alias("l_linenumber"))
 
 
 @query("stream_replay_orders", REPLAYED)
 def stream_replay_orders(spark, sf):
-    path = folder(spark)
+    path = fresh(spark)
     df = read(spark, sf, "orders")
     log, row = orders_log(spark, sf)
     log.select("op", "before", "after", "ts_us").write.parquet(f"{path}/in")
@@ -437,3 +511,86 @@ def stream_replay_orders(spark, sf):
     run = stream.writeStream.foreachBatch(put).option("checkpointLocation", f"{path}/checkpoint").trigger(availableNow=True).start()
     Z.finish(run, 600)
     return spark.read.schema(row).parquet(f"{path}/table/{run.lastProgress['batchId'] if run.lastProgress else 0}")
+
+
+@query("tx_row_info", f"SELECT o_orderkey, o_orderkey % 5 AS _tx_order, trans_id AS _tx_hash FROM orders JOIN ({ORACLES['tx_java_hash']}) USING (o_orderkey)")
+def tx_row_info(spark, sf):
+    df = read(spark, sf, "orders").select("o_orderkey")
+    log = E.encode_changes(df, F.lit("c"), "orders", None, E.image(df.schema), F.lit(1), F.concat(F.lit("tx"), "o_orderkey"), F.col("o_orderkey") % 5)
+    return A.with_transaction(E.typed(E.decode_changes(log), df.schema)).select("after.o_orderkey", "_tx_order", "_tx_hash")
+
+
+@query("metric_latency_approx", "SELECT DISTINCT event_type, true AS p50, true AS p75, true AS p95, true AS p99 FROM events")
+def metric_latency_approx(spark, sf):
+    """Whether each approximate quantile's rank is within the error that is allowed for it."""
+    events = read(spark, sf, "events").where("value IS NOT NULL")
+    near = M.latency(events, "value", ["event_type"])
+    allowed = {0.5: 0.05, 0.75: 0.01, 0.95: 0.005, 0.99: 0.001}
+    both = events.join(F.broadcast(near), "event_type")  # as many rows as event types
+    share = lambda q: (F.avg((F.col("value") <= F.col(f"p{round(100 * q)}")).cast("int")), F.avg((F.col("value") < F.col(f"p{round(100 * q)}")).cast("int")))
+    # a rank of one row more or less is no error
+    inside = lambda q: (share(q)[1] <= q + allowed[q] + 1 / F.count("*")) & (share(q)[0] >= q - allowed[q] - 1 / F.count("*"))
+    return both.groupBy("event_type").agg(*[inside(q).alias(f"p{round(100 * q)}") for q in M.QUANTILES])
+
+
+@query("metric_total_latency", "SELECT 'orders' AS \"table\", 'SNAPSHOT' AS op, quantile_cont(100000000 - o_orderkey, 0.5) AS p50, quantile_cont(100000000 - o_orderkey, 0.75) AS p75, quantile_cont(100000000 - o_orderkey, 0.95) AS p95, quantile_cont(100000000 - o_orderkey, 0.99) AS p99 FROM orders")
+def metric_total_latency(spark, sf):
+    df = read(spark, sf, "orders")
+    log = E.encode_changes(df, F.lit("r"), "orders", None, E.image(df.schema), F.col("o_orderkey"))
+    return M.total_latency(_named(E.decode_changes(log)), F.lit(100_000_000), exact=True)
+
+
+def _keyed(spark: SparkSession, parts: list[DataFrame], timeout_ms: int) -> DataFrame:
+    """assemble_keyed over a folder of one file for each part."""
+    path = fresh(spark)
+    for part in parts:
+        part.coalesce(1).write.mode("append").parquet(f"{path}/in")
+    stream = spark.readStream.schema(Z.ITEM).option("maxFilesPerTrigger", 1).parquet(f"{path}/in")
+    run = Z.assemble_keyed(stream, timeout_ms).writeStream.format("parquet").option("checkpointLocation", f"{path}/checkpoint").trigger(availableNow=True).start(f"{path}/out")
+    Z.finish(run, 1800)
+    return spark.read.schema(Z.OUT).parquet(f"{path}/out")
+
+
+@query("stream_tx_keyed", ORACLES["tx_committed_rows"])
+def stream_tx_keyed(spark, sf):
+    """Rows in two files, in no order of transactions; BEGIN and END come with the first."""
+    rows, told = tx_log(spark, sf, "l_linenumber <> 3")
+    parts = [Z.items(rows.where("total_order % 2 = 0"), told), Z.items(rows.where("total_order % 2 = 1"), told.where("false"))]
+    return _keyed(spark, parts, 10**12).where("outcome = 'committed'").select("tx_id", "total_order", F.col("body").cast("int").alias("l_linenumber"))
+
+
+@query("stream_tx_expired", ORACLES["tx_expired"])
+def stream_tx_expired(spark, sf):
+    rows, told = tx_log(spark, sf)
+    got = _keyed(spark, [Z.items(rows, told.where("ts_ms % 3 <> 0"))], 500)
+    return got.where("outcome = 'expired'").groupBy("tx_id").agg(F.max("ts_ms").alias("last_ts"))
+
+
+@query("stream_end_to_end", REPLAYED)
+def stream_end_to_end(spark, sf):
+    """Files of raw messages to a table by key: a snapshot, updates and deletes in transactions of five orders, unread ones and tombstones."""
+    path = fresh(spark)
+    df = read(spark, sf, "orders")
+    row = df.schema
+    changed = df.where("o_orderkey % 7 = 0").withColumn("tx", F.concat(F.lit("u"), (F.col("o_orderkey") / 35).cast("long")))
+    gone = df.where("o_orderkey % 11 = 0").withColumn("tx", F.concat(F.lit("d"), (F.col("o_orderkey") / 55).cast("long")))
+    new = F.struct(*[F.lit("U").alias(c) if c == "o_orderstatus" else (F.col(c) + 1).cast(MONEY).alias(c) if c == "o_totalprice" else F.col(c) for c in df.columns])
+    updated = changed.select("tx", F.col("o_orderkey").alias("k"), F.struct(*df.columns).alias("old"), new.alias("new"))
+    log = E.encode_changes(df, F.lit("r"), "orders", None, E.image(row), F.lit(1))
+    tx_rows = E.encode_changes(updated, F.lit("u"), "orders", E.image(row, "old"), E.image(row, "new"), F.lit(2), F.col("tx"), F.col("k"))
+    tx_rows = tx_rows.union(E.encode_changes(gone, F.lit("d"), "orders", E.image(row), None, F.lit(3), F.col("tx"), F.col("o_orderkey")))
+    junk = df.select(F.lit("tide.shop.orders").alias("topic"), F.when(F.col("o_orderkey") % 2 == 0, F.lit(b"{broken")).cast("binary").alias("value")).limit(20)
+    for part in (tx_rows, log.union(junk)):  # changes before what they change
+        part.coalesce(2).write.mode("append").parquet(f"{path}/{E.ROWS}")
+    each = changed.select("tx").union(gone.select("tx")).groupBy("tx").agg(F.count("*").alias("n"))
+    told = F.array(F.struct(F.lit("shop.orders").alias("data_collection"), F.col("n").alias("event_count")))
+    one = lambda status, c: F.struct(F.lit(status).alias("status"), F.col("tx").alias("id"), F.col("n").alias("event_count"), F.lit(3).alias("ts_ms"), c.alias("data_collections"))
+    sent = each.select(F.explode(F.array(one("BEGIN", F.lit(None).cast("array<struct<data_collection:string,event_count:bigint>>")), one("END", told))).alias("m"))
+    sent.select(F.lit("tide.transaction").alias("topic"), F.to_json(F.struct(F.col("m").alias("payload"))).cast("binary").alias("value")).coalesce(1).write.parquet(f"{path}/{E.TRANSACTIONS}")
+    known = Registry()
+    known.put("shop", "orders", row, ("o_orderkey",))
+    config = Config(sink_mode="table", csv_path=f"{path}/out", topic_prefix="tide", capture_database="shop", include_tables=("orders",), source_path=path)
+    job = Ingestion(spark, config, known)
+    run = job.start(once=True)
+    Z.finish(run, 1800)
+    return job.table("shop", "orders", run.lastProgress["batchId"])

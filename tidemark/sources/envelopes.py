@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -32,19 +34,28 @@ def encode_changes(df: DataFrame, op: Column, table: str, before: Column | None,
     return df.select(F.lit(f"{prefix}.{db}.{table}").alias("topic"), F.to_json(F.struct(payload.alias("payload")), {"ignoreNullFields": "false"}).cast("binary").alias("value"))
 
 
-def read_kafka(spark: SparkSession, config: Config, transactions: bool = False) -> DataFrame:
+ROWS, TRANSACTIONS = "row-record", "transaction"
+
+
+def read_kafka(spark: SparkSession, config: Config, kind: str = ROWS) -> DataFrame:
     """A stream of (topic, partition, offset, value) from Kafka; needs Spark's Kafka package.
 
-    Rows: every topic <prefix>.<database>.*, new ones included. Transactions: <prefix>.<suffix>.
+    row-record: topics <prefix>.<database>.<table> of the included tables, new ones too. transaction: <prefix>.<suffix>.
     """
-    return spark.readStream.format("kafka").options(**kafka_options(config, transactions)).load().select("topic", "partition", "offset", "value")
+    return spark.readStream.format("kafka").options(**kafka_options(config, kind)).load().select("topic", "partition", "offset", "value")
 
 
-def kafka_options(config: Config, transactions: bool = False) -> dict[str, str]:
-    dots = lambda s: s.replace(".", r"\.")
-    where = {"subscribe": f"{config.topic_prefix}.{config.transaction_topic_suffix}"} if transactions else {"subscribePattern": rf"{dots(config.topic_prefix)}\.{dots(config.capture_database)}\..*"}
-    group = f"{config.transaction_group_id}-{config.group_id}" if transactions else config.group_id
-    return where | {"kafka.bootstrap.servers": config.bootstrap_servers, "kafka.group.id": group, "startingOffsets": "earliest", "maxOffsetsPerTrigger": str(config.max_offsets_per_trigger), "failOnDataLoss": "true"}
+def kafka_options(config: Config, kind: str = ROWS) -> dict[str, str]:
+    """Options by the kind of topic; an unknown kind raises ValueError. Each kind reads under a group id of its own."""
+    if kind == TRANSACTIONS:
+        where, group = {"subscribe": f"{config.topic_prefix}.{config.transaction_topic_suffix}"}, f"{config.transaction_group_id}-{config.group_id}"
+    elif kind == ROWS:
+        tables = "|".join(map(re.escape, config.include_tables)) if config.include_tables else "[^.]+"
+        where, group = {"subscribePattern": rf"{re.escape(config.topic_prefix)}\.{re.escape(config.capture_database)}\.(.+\.)?({tables})"}, f"{config.group_id}-rows"
+    else:
+        raise ValueError(f"no topics of kind {kind}")
+    bound = {"maxOffsetsPerTrigger": str(config.max_offsets_per_trigger)} if config.max_offsets_per_trigger else {}
+    return where | bound | {"kafka.bootstrap.servers": config.bootstrap_servers, "kafka.group.id": group, "startingOffsets": "earliest", "failOnDataLoss": "true"}
 
 
 def read_files(spark: SparkSession, path: str) -> DataFrame:
@@ -52,35 +63,70 @@ def read_files(spark: SparkSession, path: str) -> DataFrame:
     return spark.readStream.schema("topic string, value binary").parquet(path)
 
 
-def decode_changes(df: DataFrame) -> DataFrame:
-    """Change events from (topic, value): tombstones (null or empty) go, what can't be read gets `error`.
+def read_stream(spark: SparkSession, config: Config, kind: str = ROWS) -> DataFrame:
+    """From Kafka, or from the folder <source_path>/<kind> if the settings name one; (topic, value)."""
+    if config.source_path:
+        return read_files(spark, f"{config.source_path}/{kind}")
+    return read_kafka(spark, config, kind).select("topic", "value")
 
-    Missing texts of source become "", missing numbers 0; before and after stay JSON text.
-    """
-    text = F.col("value").cast("string")
-    wrapped = F.from_json(text, f"struct<payload:{PAYLOAD}>")["payload"]
-    flat = F.from_json(text, PAYLOAD)
-    rows = df.where("value IS NOT NULL AND octet_length(value) > 0").withColumn("__p", F.coalesce(wrapped, flat))
-    p = lambda n: F.col(f"__p.{n}")
-    op = V.operation(p("op"))
-    bad = F.when(p("op").isNull(), "unreadable message").when(op == "UNRECOGNIZED", F.concat(F.lit("unknown operation: "), p("op")))
+
+def _not_empty(df: DataFrame) -> DataFrame:
+    """Without tombstones: null or empty values."""
+    return df.where("value IS NOT NULL AND octet_length(value) > 0")
+
+
+def _events(rows: DataFrame, payload: str, before: Column, after: Column) -> DataFrame:
+    """Change events of rows whose column `payload` is an envelope; what has no operation or an unknown one gets `error`."""
+    here = {f.name.lower(): f for f in rows.schema[payload].dataType.fields}
+    inside = lambda group: {f.name for f in here[group].dataType.fields} if group in here and isinstance(here[group].dataType, T.StructType) else set()
+    from_source, from_tx = inside("source"), inside("transaction")
+    p = lambda n, kind: F.col(f"{payload}.{n}") if n in here else F.lit(None).cast(kind)
+    src = lambda n, kind: F.col(f"{payload}.source.{n}").cast(kind) if n in from_source else F.lit(None).cast(kind)
+    tx = lambda n, kind: F.col(f"{payload}.transaction.{n}").cast(kind).alias(n) if n in from_tx else F.lit(None).cast(kind).alias(n)
+    op = V.operation(p("op", "string"))
+    bad = F.when(p("op", "string").isNull(), "unreadable message").when(op == "UNRECOGNIZED", F.concat(F.lit("unknown operation: "), p("op", "string")))
     source = F.struct(
-        *[V.text_or_empty(p(f"source.{n}")).alias(n) for n in SOURCE_TEXTS],
-        *[V.long_or_zero(F.coalesce(p("source.txId"), p("source.tx_id")) if n == "txId" else p(f"source.{n}")).alias(n) for n in SOURCE_LONGS],
+        *[V.text_or_empty(src(n, "string")).alias(n) for n in SOURCE_TEXTS],
+        *[V.long_or_zero(F.coalesce(src("txId", "bigint"), src("tx_id", "bigint")) if n == "txId" else src(n, "bigint")).alias(n) for n in SOURCE_LONGS],
     )
+    there = F.col(f"{payload}.transaction").isNotNull() if "transaction" in here else F.lit(False)
+    error = F.struct(bad.alias("message"), F.col("value").alias("original_data"), F.current_timestamp().alias("at"))
     return rows.select(
         "topic",
         op.alias("op"),
-        *[V.long_or_zero(p(n)).alias(n) for n in ("ts_ms", "ts_us", "ts_ns")],
-        p("before").alias("before"),
-        p("after").alias("after"),
+        *[V.long_or_zero(p(n, "bigint")).alias(n) for n in ("ts_ms", "ts_us", "ts_ns")],
+        before.alias("before"),
+        after.alias("after"),
         source.alias("source"),
-        p("transaction").alias("transaction"),
-        F.when(bad.isNotNull(), F.struct(bad.alias("message"), F.col("value").alias("original_data"))).alias("error"),
+        F.when(there, F.struct(tx("id", "string"), tx("total_order", "bigint"), tx("data_collection_order", "bigint"))).alias("transaction"),
+        F.when(bad.isNotNull(), error).alias("error"),
         F.octet_length("value").cast("long").alias("bytes"),
     )
 
 
+def decode_changes(df: DataFrame) -> DataFrame:
+    """Change events from JSON (topic, value): tombstones (null or empty) go, what can't be read gets `error`.
+
+    Missing texts of source become "", missing numbers 0; before and after stay JSON text.
+    """
+    text = F.col("value").cast("string")
+    wrapped = F.from_json(text, f"struct<payload:{PAYLOAD}>")["payload"]
+    rows = _not_empty(df).withColumn("__p", F.coalesce(wrapped, F.from_json(text, PAYLOAD)))
+    return _events(rows, "__p", F.col("__p.before"), F.col("__p.after"))
+
+
+def decode_avro_changes(df: DataFrame, row: T.StructType, event: str = "event", trim: bool = True) -> DataFrame:
+    """Change events from decoded Avro (topic, value, event): as decode_changes and typed together.
+
+    Images are structs already; fields of other case, absent ones, and values whose Avro schema has no logical type
+    (decimals as bytes, dates as days, instants as microseconds) are brought to the row's types.
+    """
+    kind = df.schema[event].dataType
+    images = {f.name.lower(): f for f in kind.fields}
+    side = lambda n: V.avro_image(F.col(f"{event}.{images[n].name}"), images[n].dataType, row, trim) if n in images else F.lit(None).cast(row)
+    return _events(_not_empty(df), event, side("before"), side("after"))
+
+
 def dead_letters(events: DataFrame) -> DataFrame:
     return events.where("error IS NOT NULL").select("topic", F.col("error.message").alias("message"), F.col("error.original_data").alias("original_data"))
 
@@ -105,15 +151,27 @@ def current(events: DataFrame) -> DataFrame:
 
 
 def decode_metadata(df: DataFrame) -> DataFrame:
-    """Transaction metadata from (value): status, id, event_count, ts_ms, data_collections; unreadable ones go."""
+    """Transaction metadata from JSON (value): status, id, event_count, ts_ms, data_collections; tombstones and unreadable ones go."""
     text = F.col("value").cast("string")
     m = F.coalesce(F.from_json(text, f"struct<payload:{METADATA}>")["payload"], F.from_json(text, METADATA))
-    rows = df.where("value IS NOT NULL AND octet_length(value) > 0").select(m.alias("m")).where("m.id IS NOT NULL")
+    return _metadata(_not_empty(df).select(m.alias("m")))
+
+
+def _metadata(rows: DataFrame) -> DataFrame:
+    rows = rows.where("m.id IS NOT NULL")
     return rows.select(V.status(F.col("m.status")).alias("status"), "m.id", V.long_or_zero(F.col("m.event_count")).alias("event_count"), V.long_or_zero(F.col("m.ts_ms")).alias("ts_ms"), "m.data_collections")
 
 
+def decode_avro_metadata(df: DataFrame, event: str = "event") -> DataFrame:
+    """Transaction metadata from decoded Avro (value, event); absent fields are null or 0."""
+    have = {f.name for f in df.schema[event].dataType.fields}
+    one = lambda n, kind: (F.col(f"{event}.{n}") if n in have else F.lit(None)).cast(kind).alias(n)
+    kinds = T._parse_datatype_string(METADATA)
+    return _metadata(_not_empty(df).select(F.struct(*[one(f.name, f.dataType) for f in kinds]).alias("m")))
+
+
 def from_avro(value: Column, schema: str) -> Column:
-    """Decoded Avro; needs Spark's Avro package."""
+    """Decoded Avro, null where it can't be read; needs Spark's Avro package."""
     from pyspark.sql.avro.functions import from_avro as decode
 
-    return decode(value, schema)
+    return decode(value, schema, {"mode": "PERMISSIVE"})

@@ -7,6 +7,7 @@ has come and every declared table is complete, in whatever order rows, BEGIN and
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 
 import pandas as pd
@@ -14,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
+from tidemark.config import Config
 from tidemark.operators.transactions import committed_rows
 
 ITEM = "tx_id string, kind string, ts_ms bigint, table string, total_order bigint, data_collection_order bigint, body string, data_collections array<struct<data_collection:string,event_count:bigint>>"
@@ -31,10 +33,11 @@ def items(events: DataFrame, metadata: DataFrame) -> DataFrame:
 class Batches:
     """foreachBatch: commits complete transactions, keeps the rest for later batches, sends what is too old to dead letters.
 
-    Every batch writes its own folders, so a batch that is run again replaces what it wrote before.
+    Every batch writes its own folders, so a batch that is run again replaces what it wrote before. What waits is written
+    anew in each batch, so this form is for few waiting transactions; timeout_ms None: they wait for ever.
     """
 
-    def __init__(self, folder: str, timeout_ms: int | None = None):
+    def __init__(self, folder: str, timeout_ms: int | None = Config.transaction_timeout):
         self.folder, self.timeout_ms = folder, timeout_ms
 
     def __call__(self, batch: DataFrame, number: int) -> None:
@@ -57,7 +60,7 @@ class Batches:
         batch.unpersist()
 
 
-def assemble(stream: DataFrame, folder: str, timeout_ms: int | None = None, wait_s: int = 600) -> DataFrame:
+def assemble(stream: DataFrame, folder: str, timeout_ms: int | None = Config.transaction_timeout, wait_s: int = 600) -> DataFrame:
     """Run over what is there and return the committed rows."""
     query = stream.writeStream.foreachBatch(Batches(folder, timeout_ms)).option("checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True).start()
     finish(query, wait_s)
@@ -70,64 +73,97 @@ def finish(query: StreamingQuery, wait_s: int) -> None:
         raise TimeoutError(f"the stream did not end in {wait_s} s")
 
 
+OUT = "tx_id string, outcome string, table string, ts_ms bigint, total_order bigint, data_collection_order bigint, body string"
+
+
 class TransactionProcessor(StatefulProcessor):
-    """Keyed state: waiting rows, received counts and what END declared."""
+    """Keyed state: chunks of waiting rows, rows received by table, what END declared, and the newest event time.
+
+    Outcomes: committed, in the order of total_order; expired, when no event came for the timeout; late, for rows
+    that come within the timeout after their transaction committed. Repeated BEGIN and END change nothing.
+    """
 
-    def __init__(self, timeout_ms: int | None = None):
+    def __init__(self, timeout_ms: int):
         self.timeout_ms = timeout_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.rows = handle.getListState("rows", "table string, total_order bigint, data_collection_order bigint, body string")
+        self.chunks = handle.getListState("chunks", "tables array<string>, times array<bigint>, totals array<bigint>, orders array<bigint>, bodies array<string>")
+        self.counts = handle.getMapState("counts", "table string", "n bigint")
         self.told = handle.getValueState("told", "names array<string>, counts array<bigint>")
+        self.last = handle.getValueState("last", "ts_ms bigint")
+        self.closed = handle.getValueState("closed", "yes boolean")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        newest = 0
+        newest = self.last.get()[0] if self.last.exists() else 0
+        closed, told = self.closed.exists(), None
+        new, counts = [], Counter()
         for pdf in rows:
-            for r in pdf.itertuples(index=False):
-                newest = max(newest, int(r.ts_ms))
-                if r.kind == "ROW":
-                    self.rows.appendValue((r.table, int(r.total_order), int(r.data_collection_order), r.body))
-                elif r.kind == "END":
-                    c = r.data_collections if r.data_collections is not None else []
-                    self.told.update(([x["data_collection"].rpartition(".")[2] for x in c], [int(x["event_count"]) for x in c]))
-        if self.told.exists():
-            have = list(self.rows.get())
-            names, counts = self.told.get()
-            if all(sum(h[0] == n for h in have) >= c for n, c in zip(names, counts)):
-                self.rows.clear()
-                self.told.clear()
-                for t in list(self.handle.listTimers()) if self.timeout_ms else []:
-                    self.handle.deleteTimer(t)
-                yield self.emit(key, have, "committed")
-                return
-        if self.timeout_ms and newest:
-            self.handle.registerTimer(newest + self.timeout_ms)
+            newest = max(newest, int(pdf["ts_ms"].max()))
+            here = pdf[pdf["kind"] == "ROW"]
+            if len(here):
+                numbers = [here[c].fillna(0).astype("int64").tolist() for c in ("ts_ms", "total_order", "data_collection_order")]
+                new.append((here["table"].tolist(), *numbers, here["body"].tolist()))
+                counts.update(new[-1][0])
+            for c in pdf.loc[pdf["kind"] == "END", "data_collections"]:
+                c = c if c is not None else []
+                told = [x["data_collection"].rpartition(".")[2] for x in c], [int(x["event_count"]) for x in c]
+        # one timer at a time: that of the newest event
+        for t in list(self.handle.listTimers()):
+            self.handle.deleteTimer(t)
+        self.handle.registerTimer(newest + self.timeout_ms + 1)
+        self.last.update((newest,))
+        if closed:
+            yield self.emit(key, new, "late")
+            return
+        if told is not None:
+            self.told.update(told)
+        elif self.told.exists():
+            told = self.told.get()
+        if told is not None and all(counts[n] + self._received(n) >= c for n, c in zip(*told)):
+            have = [*self.chunks.get(), *new]
+            self._clear()
+            self.closed.update((True,))
+            yield self.emit(key, have, "committed")
+            return
+        for chunk in new:
+            self.chunks.appendValue(chunk)
+        for name, n in counts.items():
+            self.counts.updateValue((name,), (n + self._received(name),))
         yield self.emit(key, [], "")
 
+    def _received(self, name: str) -> int:
+        return self.counts.getValue((name,))[0] if self.counts.containsKey((name,)) else 0
+
+    def _clear(self) -> None:
+        for state in (self.chunks, self.counts, self.told):
+            state.clear()
+
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        have = list(self.rows.get())
-        self.rows.clear()
-        self.told.clear()
+        have = [] if self.closed.exists() else list(self.chunks.get())
+        self._clear()
+        self.last.clear()
+        self.closed.clear()
         yield self.emit(key, have, "expired")
 
     @staticmethod
-    def emit(key, have, outcome: str) -> pd.DataFrame:
-        have = sorted(have, key=lambda h: h[1])
-        texts = {"tx_id": [key[0]] * len(have), "outcome": [outcome] * len(have), "table": [h[0] for h in have], "body": [h[3] for h in have]}
-        out = pd.DataFrame({k: pd.Series(v, dtype=object) for k, v in texts.items()})
-        out.insert(3, "total_order", pd.Series([h[1] for h in have], dtype="int64"))
-        return out
+    def emit(key, chunks, outcome: str) -> pd.DataFrame:
+        table, ts, total, order, body = ([x for c in chunks for x in c[i]] for i in range(5))
+        out = pd.DataFrame({"tx_id": pd.Series([key[0]] * len(table), dtype=object), "outcome": pd.Series([outcome] * len(table), dtype=object), "table": pd.Series(table, dtype=object), "ts_ms": pd.Series(ts, dtype="int64"), "total_order": pd.Series(total, dtype="int64"), "data_collection_order": pd.Series(order, dtype="int64"), "body": pd.Series(body, dtype=object)})
+        return out.sort_values(["total_order", "data_collection_order"], kind="stable")
 
     def close(self) -> None:
         pass
 
 
-def assemble_keyed(stream: DataFrame, timeout_ms: int | None = None) -> DataFrame:
-    """The keyed form; needs the RocksDB state store."""
-    if timeout_ms:
-        stream = stream.withColumn("at", F.timestamp_millis("ts_ms")).withWatermark("at", "0 seconds")
-    return stream.groupBy("tx_id").transformWithStateInPandas(TransactionProcessor(timeout_ms), "tx_id string, outcome string, table string, total_order bigint, body string", "Append", "EventTime" if timeout_ms else "None")
+def assemble_keyed(stream: DataFrame, timeout_ms: int) -> DataFrame:
+    """The keyed form, columns of OUT; sets the RocksDB state store, which it needs, for the session's next streams."""
+    stream.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    # Spark drops rows behind the watermark: items have no event time, and small rows beside them carry the clock
+    clock = F.when(F.col("ts_ms") > 0, F.array(F.lit(None), F.timestamp_millis("ts_ms"))).otherwise(F.array(F.lit(None).cast("timestamp")))
+    stream = stream.withColumn("at", F.explode(clock)).withColumn("kind", F.when(F.col("at").isNull(), F.col("kind")).otherwise("CLOCK"))
+    stream = stream.withColumns({c: F.when(F.col("at").isNull(), F.col(c)) for c in ("body", "data_collections")}).withWatermark("at", "0 seconds")
+    return stream.groupBy("tx_id").transformWithStateInPandas(TransactionProcessor(timeout_ms), OUT, "Append", "EventTime")
 
 
 class Service:
