@@ -22,8 +22,8 @@ from tidemark.llm.bpe import byte_letters
 from tidemark.llm.common import checkpoint, one_thread, reach, table
 
 SHARD = 50_000
-#: Characters of the pieces whose ids are kept, and of the texts that are cut at once (or one text).
-CACHE, STEP = 1_500_000, 1_000_000
+#: Characters of the pieces whose ids a worker keeps, and of the texts that are cut at once (or one text).
+CACHE, STEP = 2_500_000, 500_000
 #: Equal pieces that are written out in one place.
 EQUALS = 1 << 16
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -125,7 +125,6 @@ def pieces(df: DataFrame, path: str, capacity: int = 2048, end_id: int = 0, id_c
                         cut = raw[start : start + 4 * capacity]
                         out.append((doc, k, start // 4, len(cut) // 4, zlib.crc32(cut)))
                 yield pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, t in zip(zip(*out), (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()), strict=True)], names=KEYS)
-        words.free()
 
     return reach(df).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, PIECES)
 
