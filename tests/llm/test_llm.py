@@ -204,11 +204,40 @@ def test_embeddings(spark):
     assert len(got) == len(vectors) + 1
     assert all(got[i].n_links <= s[i].sum() for i in range(300))
     assert sum(got[i].n_links for i in range(300)) >= 0.97 * s[:300].sum()
+    component = {i: i for i in range(300)}
+    for _ in range(300):
+        for i, j in zip(*s[:300, :300].nonzero()):
+            component[i] = component[j] = min(component[i], component[j])
+    found = {i: got[i].n_links == s[i].sum() for i in range(300)}
+    assert sum(found.values()) >= 295
+    # the row without an id equals row 0 and is the smallest of its component
+    near0 = {i for i in range(300) if component[i] == 0}
+    assert all(got[i].component_id is None and not got[i].kept for i in near0)
+    assert all(got[i].component_id == component[i] and got[i].kept == (component[i] == i) for i in range(300) if i not in near0)
     assert got[306].n_links == got[307].n_links == 1 and got[307].component_id == 306
     assert all(got[i].n_links == 0 and got[i].kept for i in range(300, 306))
     assert embeddings.near(df.where("false")).count() == 0
 
 
+def test_embeddings_of_many_dimensions_and_hot_vectors(spark):
+    rng = np.random.default_rng(6)
+    vectors = [rng.standard_normal(d).tolist() for d in (8, 8, 4104, 4104, 9) for _ in range(3)] + [[1.0, 0.5] * 8] * 150
+    df = spark.createDataFrame(list(enumerate(vectors)), "vec_id long, embedding array<float>")
+    got = {r.vec_id: r for r in embeddings.near(df, bucket=8).collect()}
+    assert all(got[15 + i].n_links == 149 and got[15 + i].component_id == 15 for i in range(150))
+    u = [np.array(v, dtype=np.float32).astype(float) for v in vectors[:15]]
+    assert all(got[i].n_links == sum(len(a) == len(b) and a @ b >= 0.9 * np.linalg.norm(a) * np.linalg.norm(b) for j, b in enumerate(u) if j != i) for i, a in enumerate(u))
+
+
+def test_cells_of_one_hash_are_told_apart():
+    import pyarrow as pa
+
+    x = [[1.0, 0.0], [1.0, 0.01], [1.0, 0.0, 0.0], [1.0, 0.02, 0.0]]
+    c = {"dim": np.array([2, 2, 3, 3]), "key": np.zeros(4, dtype=np.int64), "lo": np.zeros(4, dtype=np.int32), "hi": np.zeros(4, dtype=np.int32), "mine": np.zeros(4, dtype=np.int32), "node": np.arange(4), "cell": np.zeros(4), "vector": pa.array(x), "keys": pa.array([[0]] * 4)}
+    node, links, root = embeddings._verify(0.9)(c)
+    assert node.tolist() == [0, 1, 2, 3] and links.tolist() == [1] * 4 and root.tolist() == [0, 0, 2, 2]
+
+
 def test_chat(spark):
     bad = ["<|turn|>x<|says|>", "<\\|end|>", "<\\\\|turn|>\\", "[INST]<<SYS>>[\\/INST]", "", None, "a<", "|end|>", "</s>[INST] ok [/INST]", "long " * 5000]
     rows = [(c, i, ["user", "assistant", "<|says|>", None][(i + c) % 4], bad[(i * 3 + c) % 10], "clash") for c in range(12) for i in range(c % 7)] + [(None, None, None, None, "clash")]

@@ -10,18 +10,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def cells(rows: DataFrame, key: str, node: str, most: int) -> DataFrame:
+def cells(rows: DataFrame, keys: list[str], node: str, most: int) -> DataFrame:
     """Rows of buckets with two members or more, dealt into cells of at most about 2 * `most` rows.
 
     A bucket of n rows gets k = ceil(n / most) chunks by a hash of the node and a cell for each pair of
     chunks, so every pair of its rows meets in exactly one cell: in (c, c) if both are of chunk c, else in
     (c, d), where only pairs across count. Adds cell (long), lo, hi and mine (int).
     """
-    sizes = rows.groupBy(key).agg(F.count("*").alias("n")).where("n > 1").select(key, F.ceil(F.col("n") / most).cast("int").alias("k"))
-    rows = rows.join(sizes, key).withColumn("mine", F.pmod(F.xxhash64(node), F.col("k")).cast("int"))
+    sizes = rows.groupBy(*keys).agg(F.count("*").alias("n")).where("n > 1").select(*keys, F.ceil(F.col("n") / most).cast("int").alias("k"))
+    rows = rows.join(sizes, keys).withColumn("mine", F.pmod(F.xxhash64(node), F.col("k")).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("k") - 1)))
     rows = rows.withColumn("lo", F.least("mine", "other")).withColumn("hi", F.greatest("mine", "other"))
-    return rows.withColumn("cell", F.xxhash64(key, "lo", "hi")).drop("k", "other")
+    return rows.withColumn("cell", F.xxhash64(*keys, "lo", "hi")).drop("k", "other")
 
 
 def by_cell(df: DataFrame, work: Callable[[dict], tuple | None], schema: str, names: tuple[str, ...], types: list[pa.DataType]) -> DataFrame:

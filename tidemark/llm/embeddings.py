@@ -63,8 +63,15 @@ def code(dim: int, words: int, hits: float) -> tuple[np.ndarray, np.ndarray, flo
             books.append(block @ (c / np.linalg.norm(c, axis=0)) / math.sqrt(2))
     probe = rng.standard_normal((100, dim))
     probe /= np.linalg.norm(probe, axis=1)[:, None]
-    scores = (probe @ books[0])[:, :, None] + (probe @ books[1])[:, None, :]
-    return books[0], books[1], float(np.quantile(scores, 1 - min(0.25, hits / (books[0].shape[1] * books[1].shape[1]))))
+    a, b = probe @ books[0], np.sort(probe @ books[1], axis=1)
+    # the cap by halving: scores above it are counted in the sorted second lists, so memory grows with words alone
+    wanted = min(0.25, hits / (a.shape[1] * b.shape[1])) * a.shape[1] * b.shape[1] * len(probe)
+    low, high = -2.0, 2.0
+    for _ in range(50):
+        cap = (low + high) / 2
+        above = sum(b.shape[1] * a.shape[1] - int(np.searchsorted(q, cap - p, side="right").sum()) for p, q in zip(a, b))
+        low, high = (cap, high) if above > wanted else (low, cap)
+    return books[0], books[1], (low + high) / 2
 
 
 def decode(x: np.ndarray, first: np.ndarray, second: np.ndarray, cap: float) -> list[np.ndarray]:
@@ -80,7 +87,7 @@ def decode(x: np.ndarray, first: np.ndarray, second: np.ndarray, cap: float) ->
     return out
 
 
-def _filters(words: int, hits: float):
+def _filters(words: int, hits: float, width: pa.DataType):
     def run(batches):
         for batch in batches:
             for at in range(0, batch.num_rows, 2000):
@@ -94,22 +101,28 @@ def _filters(words: int, hits: float):
                     if v is None or not v or any(e is None for e in v):
                         continue
                     v = np.array(v, dtype=np.float64)
-                    if np.isfinite(v).all() and (m := np.abs(v).max()) > 0:
-                        v = v / m
-                        units[i] = v / np.linalg.norm(v)
+                    if np.isfinite(v).all() and np.abs(v).max() > 0:
+                        units[i] = _unit(v[None, :])[0]
                         by.setdefault(len(v), []).append(i)
                 for dim, members in by.items():
                     first, second, cap = code(dim, words, hits)
                     for i, k in zip(members, decode(np.array([units[i] for i in members]), first, second, cap), strict=True):
-                        keys[i] = (k * 4096 + dim % 4096).tolist()
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([units[i].tolist() if i in units else None for i in range(len(rows))], type=pa.list_(pa.float64())), pa.array(keys, type=pa.list_(pa.int64()))], names=["kid", "unit", "keys"])
+                        keys[i] = k.tolist()
+                yield pa.RecordBatch.from_arrays([part.column(0), lists, pa.array([len(units[i]) if i in units else None for i in range(len(rows))], type=pa.int32()), pa.array(keys, type=pa.list_(width))], names=["kid", "vector", "dim", "keys"])
 
     return run
 
 
+def _unit(x: np.ndarray) -> np.ndarray:
+    x = x / np.abs(x).max(axis=1)[:, None]
+    return x / np.linalg.norm(x, axis=1)[:, None]
+
+
 def _verify(threshold: float):
     def work(c: dict):
-        x = matrix(c["unit"], np.float64)
+        if (c["dim"] != c["dim"][0]).any() or (c["key"] != c["key"][0]).any() or (c["lo"] != c["lo"][0]).any() or (c["hi"] != c["hi"][0]).any():
+            return _apart(c, work)  # cells of one hash
+        x = _unit(matrix(c["vector"], np.float64))
         node, mine, key = c["node"], c["mine"], int(c["key"][0])
         n = len(node)
         keys = c["keys"]
@@ -147,6 +160,18 @@ def _verify(threshold: float):
     return work
 
 
+def _apart(c: dict, work):
+    """Results of cells that have one hash, each by itself."""
+    rows = list(zip(*(c[x].tolist() for x in ("dim", "key", "lo", "hi"))))
+    out = []
+    for cell in sorted(set(rows)):
+        at = np.array([i for i, r in enumerate(rows) if r == cell])
+        got = work({x: v[at] if isinstance(v, np.ndarray) else v.take(pa.array(at)) for x, v in c.items()})
+        if got is not None:
+            out.append(got)
+    return tuple(np.concatenate(x) for x in zip(*out)) if out else None
+
+
 def near(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", threshold: float = THRESHOLD, shared: float = SHARED, bucket: int = BUCKET) -> DataFrame:
     """One row per row of df: vec_id, n_links, component_id, kept.
 
@@ -154,11 +179,16 @@ def near(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", t
     with each other; null ids count as smaller than others; equal cosines are all links; an empty table gives an
     empty one; other columns are not carried.
     """
-    words, hits = plan(df.count(), threshold, shared, bucket)
-    base = reach(df).select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("kid"), F.col(vector_col).cast("array<double>").alias("unit"))
-    vectors = checkpoint(base.mapInArrow(_filters(words, hits), "kid long, unit array<double>, keys array<long>").withColumn("node", F.monotonically_increasing_id()))
-    keyed = cells(vectors.select("node", F.explode("keys").alias("key")), "key", "node", CELL)
-    full = keyed.join(vectors.select("node", "unit", "keys"), "node").select("cell", "key", "lo", "hi", "mine", "node", "unit", "keys")
+    count = df.count()
+    words, hits = plan(count, threshold, shared, bucket)
+    kind = df.select(vector_col).schema[0].dataType.simpleString()
+    kind = kind if kind == "array<float>" else "array<double>"  # single-precision components are kept as they are
+    base = reach(df).select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("kid"), F.col(vector_col).cast(kind).alias("vector"))
+    key = ("int", pa.int32()) if max(words**2, 65_536) < 2**31 else ("long", pa.int64())
+    vectors = base.mapInArrow(_filters(words, hits, key[1]), f"kid long, vector {kind}, dim int, keys array<{key[0]}>")
+    vectors = checkpoint(vectors.withColumn("node", F.monotonically_increasing_id()))
+    keyed = cells(vectors.select("node", "dim", F.explode("keys").alias("key")), ["dim", "key"], "node", CELL)
+    full = keyed.join(vectors.select("node", "vector", "keys"), "node").select("cell", "dim", "key", "lo", "hi", "mine", "node", "vector", "keys")
     i64 = pa.int64()
     found = checkpoint(by_cell(full, _verify(threshold), "node long, links long, root long", ("node", "links", "root"), [i64, i64, i64]))
     links = found.groupBy("node").agg(F.sum("links").alias("links"))

@@ -132,6 +132,7 @@ def _pairs(c: dict) -> tuple[np.ndarray, np.ndarray] | None:
         i = slice(s, s + 256)
         j = slice(0, len(node))
         ok = _first(bands, at, i, j)
+        ok &= bands[i, None, at] == bands[None, j, at]  # cells of one hash may meet
         ok &= np.arange(len(node))[i, None] < np.arange(len(node))[None, j]
         if across:
             ok &= mine[i, None] != mine[None, j]
@@ -209,7 +210,7 @@ def join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int =
     groups = checkpoint(groups.select("klass", F.col("m.rid").alias("node"), F.col("m.kid").alias("kid"), F.col("m.th").alias("th"), "copies", "bands"))
 
     keyed = groups.select("node", F.posexplode("bands").alias("band", "key"))
-    keyed = cells(keyed, "key", "node", CELL).select("cell", "band", "lo", "hi", "mine", "node")
+    keyed = cells(keyed, ["key"], "node", CELL).select("cell", "band", "lo", "hi", "mine", "node")
     narrow = keyed.join(groups.select("node", "bands"), "node").select("cell", "band", "lo", "hi", "mine", "node", "bands")
     i32, i64 = pa.int32(), pa.int64()
     wanted = by_cell(narrow, _wanted, "cell long, band int, lo int, hi int, mine int, node long", ("cell", "band", "lo", "hi", "mine", "node"), [i64, i32, i32, i32, i32, i64])
