@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import corpus_pipeline
 from tidemark.llm.bpe import op6_bpe
 from tidemark.llm.chat import op4_chat
 from tidemark.llm.context_tree import op7_context_tree
@@ -25,7 +24,6 @@ QUERIES = {
     "op8_packing": op8_packing,
     "op9_fingerprints": op9_fingerprints,
     "op10_licenses": op10_licenses,
-    "pipeline": corpus_pipeline.run,
 }
 
 ORACLES: dict[str, str] = {}

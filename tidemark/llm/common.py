@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 import os
-import tempfile
-import uuid
 from collections.abc import Callable, Iterator
 from pathlib import Path
 
@@ -14,6 +12,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from tidemark.sources.folders import fresh
+
 
 def reach(df: DataFrame) -> DataFrame:
     """df, after telling Python workers where this package lies, for sessions that were not started from its folder."""
@@ -33,14 +33,12 @@ def remainder(id_col: str, modulus: int) -> Column:
 
 
 def checkpoint(df: DataFrame, drop: DataFrame | None = None) -> DataFrame:
-    """Cut lineage: df as a table written to the cluster's shared folder and read back.
+    """Cut lineage: df as a table written to the shared folder that spark.checkpoint.dir names, and read back.
 
-    The folder is spark.checkpoint.dir; only where that is unset (tests) a temporary one is used.
     drop: an earlier result of this function that is not needed any more; its files are deleted.
     """
     spark = df.sparkSession
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir() or tempfile.mkdtemp(prefix="tidemark-")
-    path = f"{folder}/tidemark-{uuid.uuid4().hex}"
+    path = fresh(spark)
     df.write.parquet(path)
     if drop is not None:
         jvm = spark.sparkContext._jvm

@@ -21,6 +21,8 @@ SPAN = 64
 #: The sample that the network is trained on: at most so many documents a language, so many windows of each.
 DOCUMENTS, WINDOWS = 400, 6
 STEPS, BATCH, RATE = 320, 256, 0.02
+#: Bytes of the texts that are read at once (or one text).
+GROUP = 1 << 20
 #: A document whose best language has no more than this probability is rejected by the pipeline.
 LEAST = 0.3
 UNKNOWN = "und"
@@ -28,10 +30,14 @@ LETTER = re.compile(r"[^\W\d_]")
 
 
 def sample(docs: DataFrame, known: Column, text_col: str, lang_col: str, documents: int = DOCUMENTS, windows: int = WINDOWS) -> list[tuple[str, bytes]]:
-    """(language, window of at most SPAN bytes) pairs: at most documents * windows a language, spread over whole texts."""
+    """(language, window of at most SPAN bytes) pairs: at most documents * windows a language, spread over whole texts. Equal texts count once."""
     rows = docs.where(known & F.col(lang_col).isNotNull() & (F.char_length(text_col) > 0)).select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
+    rows = rows.withColumn("h", F.xxhash64("text"))
+    # a share of each language's texts, some times what is wanted, so that no task ranks all of one
+    sizes = rows.groupBy("lang").agg(F.approx_count_distinct("h", 0.05).alias("n"))  # as many rows as languages
+    rows = rows.join(F.broadcast(sizes), "lang").where(F.pmod(F.xxhash64("h"), F.lit(1 << 40)) < F.lit(1 << 40) * 8.0 * documents / F.col("n"))
     place = lambda j: F.pmod(F.xxhash64("text", F.lit(j)), F.greatest(F.lit(1), F.char_length("text") - SPAN + 1)).cast("int") + 1
-    rows = rows.select("lang", F.xxhash64("text").alias("h"), F.array(*[F.substring("text", place(j), F.lit(SPAN)) for j in range(windows)]).alias("cuts"))
+    rows = rows.groupBy("lang", "h").agg(F.first(F.array(*[F.substring("text", place(j), F.lit(SPAN)) for j in range(windows)])).alias("cuts"))
     rows = rows.withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy("h"))).where(F.col("r") <= documents)
     return [(r.lang, c.encode()[:SPAN]) for r in sorted(rows.collect(), key=lambda r: (r.lang, r.r)) for c in r.cuts]
 
@@ -163,13 +169,15 @@ def _scorer(model: dict):
         def score(texts: list[str | None]) -> list[list]:
             lang, best = [UNKNOWN] * len(texts), [0.0] * len(texts)
             group: list[tuple[int, bytes]] = []
+            held = 0
             for i, t in enumerate([*texts, None]):
                 if t and model["langs"] and LETTER.search(t):
                     group.append((i, t.encode()))
-                if group and (i == len(texts) or sum(len(b) for _, b in group[-1:]) > 2**22 or len(group) == 400):
+                    held += len(group[-1][1])
+                if group and (i == len(texts) or held > GROUP):
                     for (j, _), q in zip(group, probabilities(model, [b for _, b in group]), strict=True):
                         lang[j], best[j] = model["langs"][int(q.argmax())], float(min(1.0, q.max()))
-                    group = []
+                    group, held = [], 0
             return [lang, best]
 
         return score
@@ -204,6 +212,10 @@ def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a known language stay; `und` ones and those of no clear language go. Columns stay as they are."""
+    """Documents with a known language stay; `und` ones (null, empty, without a letter) and those of no clear language go.
+
+    Columns stay as they are; equal texts, repeated rows too, stay or go together; an empty table gives an empty one;
+    rows of a null id or language teach nothing and are judged like others.
+    """
     model = learn(docs)
     return append(docs, "text", FIELDS, _scorer(model), keep=lambda c: [lang != UNKNOWN and p > LEAST for lang, p in zip(*c, strict=True)])
