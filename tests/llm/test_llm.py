@@ -182,6 +182,14 @@ def test_jaccard_join(docs, rows, empty):
     assert staged.count() == len({find(k) for k in range(len(rows))})
 
 
+def test_jaccard_of_large_classes(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "LARGE", 3)
+    rows = [(i, "one two three four five six" if i < 40 else None if i < 60 else "" if i < 70 else f"text {i} has words of its own here") for i in range(90)] + [(None, None)] * 5
+    got = jaccard.join(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert len(got) == len(rows)
+    assert all((r.n_links, r.component_id, r.kept) == ((39, 0, r.doc_id == 0) if r.doc_id is not None and r.doc_id < 40 else (0, r.doc_id, True)) for r in got)
+
+
 def test_banding_meets_recall():
     for t in (0.5, 0.8, 0.9):
         b, r = jaccard.banding(t, 0.99, 300)
@@ -619,14 +627,65 @@ def test_toxicity_folds_keep_copies_together():
     assert (got[:20] == got[20:]).all() and set(got.tolist()) == {0, 1}
 
 
+def _pipeline_tables(spark, path, rows, labels):
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    spark.createDataFrame([(i, t, g, "s", len(t or "")) for i, t, g in rows], schema).write.parquet(f"{path}/documents.parquet")
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{path}/labels.parquet")
+
+
 def test_pipeline_equals_its_stages_by_hand(spark, tmp_path):
+    """Stage by stage against plain code: learned stages by their models applied text by text, others by brute force."""
     import corpus_pipeline
 
-    rows = [(i, prose(i, 60), "en") for i in range(30)] + [(50 + i, prose(i, 60, "der die und ei ch sch ung zu"), "de") for i in range(30)]
-    rows += [(90, prose(0, 60), "en"), (91, prose(0, 60) + " x", "en"), (92, None, "en"), (93, "123", "en"), (94, "", None)]
-    spark.createDataFrame([(i, t, g, "s", len(t or "")) for i, t, g in rows], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
-    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
-    got = corpus_pipeline.run(spark, str(tmp_path)).collect()
-    # no labels: nothing is toxic; texts without a letter go; of each group of copies the smallest id stays
-    assert {r.doc_id for r in got} == {i for i, _, _ in rows if i < 90}
+    rng = random.Random(5)
+    rows = [(i, prose(i, 60), "en") for i in range(60)] + [(100 + i, prose(i, 60, "der die und ei ch sch ung zu"), "de") for i in range(30)]
+    for i in range(60):  # toxic ones
+        w = prose(2000 + i, 60).split()
+        for _ in range(5):
+            w.insert(rng.randrange(len(w)), rng.choice(["trashy", "moronic", "pathetically"]))
+        rows.append((200 + i, " ".join(w), "en"))
+    labels = [(i, 1, 0) for i in range(60)] + [(200 + i, 0, 1) for i in range(60)]
+    rows += [(300, prose(0, 60), "en"), (301, prose(0, 60) + " x", "en"), (302, None, "en"), (303, "123", "en"), (304, "", None), (None, prose(77, 50), "en"), (5, prose(5, 60), "en")]
+    _pipeline_tables(spark, tmp_path, rows, labels)
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
     assert [n for n, _ in corpus_pipeline.STAGES] == ["language_id", "toxicity", "ngram_jaccard", "packing"]
+
+    def check(name, got, want, key=lambda r: (r.doc_id, r.text)):
+        assert Counter(map(key, got.collect())) == Counter(want), name
+
+    model = language.learn(docs)
+    score = language._scorer(model)()
+    kept = [(i, t) for (i, t, _), lang, p in zip(rows, *score([t for _, t, _ in rows])) if lang != "und" and p > language.LEAST]
+    assert not {302, 303, 304} & {i for i, _ in kept}
+    docs = language.stage(spark, docs, str(tmp_path))
+    check("language", docs, kept)
+    bad = toxicity.fit(docs, spark.read.parquet(f"{tmp_path}/labels.parquet"))
+    kept = [(i, t) for (i, t), p in zip(kept, toxicity._scorer(bad)()([t for _, t in kept])[1]) if not p]
+    assert sum(200 <= (i or 0) < 300 for i, _ in kept) < 12 and len(kept) > 70
+    docs = toxicity.stage(spark, docs, str(tmp_path))
+    check("toxicity", docs, kept)
+    grams = lambda t: {tuple(t.lower().split()[k : k + 5]) for k in range(len(t.split()) - 4)}
+    order = sorted(set(kept), key=lambda x: (x[0] is not None, x[0] or 0))
+    group = {x: x for x in order}
+    for a, b in itertools.combinations(order, 2):
+        if len(grams(a[1]) & grams(b[1])) >= 0.8 * len(grams(a[1]) | grams(b[1])):
+            low, high = sorted((group[a], group[b]), key=order.index)
+            group = {x: low if g == high else g for x, g in group.items()}
+    kept = [x for x in order if group[x] == x]
+    assert not {300, 301} & {i for i, _ in kept}
+    docs = jaccard.stage(spark, docs, str(tmp_path))
+    check("jaccard", docs, kept)
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    want = [(i, len(library.encode(t, add_special_tokens=False).ids) + 1) for i, t in kept]
+    got = corpus_pipeline.run(spark, str(tmp_path))
+    check("packing", got, want, key=lambda r: (r.doc_id, r.length))
+    assert [f.name for f in got.schema][:7] == ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]
+
+
+def test_pipeline_of_empty_tables(spark, tmp_path):
+    import corpus_pipeline
+
+    _pipeline_tables(spark, tmp_path, [], [])
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0

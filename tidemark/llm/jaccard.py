@@ -24,6 +24,8 @@ THRESHOLD = 0.8
 RECALL = 0.999
 HASHES = 100
 CELL = 256
+#: Rows from which a class of equal sets may be a large one.
+LARGE = 1000
 CACHE = 400_000
 NO_ID = -(2**63)
 
@@ -237,8 +239,14 @@ def join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int =
     first = named.groupBy("component").agg(F.min("m").alias("m"))
     named = named.join(first.select("component", F.col("m").alias("top")), "component").select(F.col("id").alias("node"), "top")
     groups = groups.select("klass", "node", "kid", "copies").join(links, "node", "left").join(named, "node", "left")
-    groups = groups.select("klass", F.col("kid").alias("class_id"), (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), F.coalesce("top", F.struct("kid", "node")).alias("top"))
-    out = docs.select("klass", "kid", "rid", "th").join(groups, "klass", "left")
+    groups = groups.select("klass", "copies", F.col("kid").alias("class_id"), (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), F.coalesce("top", F.struct("kid", "node")).alias("top"))
+    # large classes are sent to the rows, the others' rows to them; rows without words meet nothing
+    large = F.col("copies") > max(LARGE, docs.count() // 1000)
+    heavy = F.broadcast(groups.where(large))  # 1,000 classes at most, as each has over a thousandth of all rows
+    rows = docs.select("klass", "kid", "rid", "th")
+    some = rows.where("klass IS NOT NULL")
+    light = some.join(F.broadcast(groups.where(large).select("klass")), "klass", "left_anti")
+    out = light.join(groups.where(~large), "klass").unionByName(some.join(heavy, "klass")).unionByName(rows.where("klass IS NULL"), allowMissingColumns=True)
     named_id = lambda c: F.when(c != NO_ID, c)
     return out.select(
         named_id(F.col("kid")).alias("doc_id"),
