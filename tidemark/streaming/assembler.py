@@ -77,7 +77,8 @@ OUT = "tx_id string, outcome string, table string, ts_ms bigint, total_order big
 
 
 class TransactionProcessor(StatefulProcessor):
-    """Keyed state: chunks of waiting rows, rows received by table, what END declared, and the newest event time.
+    """Keyed state: chunks of waiting rows, and one value with the newest event time, whether the transaction has
+    committed, what END declared, and the rows received by table.
 
     Outcomes: committed, in the order of total_order; expired, when no event came for the timeout; late, for rows
     that come within the timeout after their transaction committed. Repeated BEGIN and END change nothing.
@@ -89,15 +90,12 @@ class TransactionProcessor(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.chunks = handle.getListState("chunks", "tables array<string>, times array<bigint>, totals array<bigint>, orders array<bigint>, bodies array<string>")
-        self.counts = handle.getMapState("counts", "table string", "n bigint")
-        self.told = handle.getValueState("told", "names array<string>, counts array<bigint>")
-        self.last = handle.getValueState("last", "ts_ms bigint")
-        self.closed = handle.getValueState("closed", "yes boolean")
+        self.head = handle.getValueState("head", "newest bigint, closed boolean, told boolean, names array<string>, declared array<bigint>, tables array<string>, received array<bigint>")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        newest = self.last.get()[0] if self.last.exists() else 0
-        closed, told = self.closed.exists(), None
-        new, counts = [], Counter()
+        head = self.head.get()
+        newest, closed, told, names, declared, tables, received = head if head is not None else (0, False, False, [], [], [], [])
+        before, counts, new = newest, Counter(dict(zip(tables, received))), []
         for pdf in rows:
             newest = max(newest, int(pdf["ts_ms"].max()))
             here = pdf[pdf["kind"] == "ROW"]
@@ -107,43 +105,32 @@ class TransactionProcessor(StatefulProcessor):
                 counts.update(new[-1][0])
             for c in pdf.loc[pdf["kind"] == "END", "data_collections"]:
                 c = c if c is not None else []
-                told = [x["data_collection"].rpartition(".")[2] for x in c], [int(x["event_count"]) for x in c]
+                told, names, declared = True, [x["data_collection"].rpartition(".")[2] for x in c], [int(x["event_count"]) for x in c]
         # one timer at a time: that of the newest event
-        for t in list(self.handle.listTimers()):
-            self.handle.deleteTimer(t)
-        self.handle.registerTimer(newest + self.timeout_ms + 1)
-        self.last.update((newest,))
+        if head is None or newest > before:
+            if head is not None:
+                self.handle.deleteTimer(before + self.timeout_ms + 1)
+            self.handle.registerTimer(newest + self.timeout_ms + 1)
+        done = not closed and told and all(counts[n] >= c for n, c in zip(names, declared))
         if closed:
             yield self.emit(key, new, "late")
-            return
-        if told is not None:
-            self.told.update(told)
-        elif self.told.exists():
-            told = self.told.get()
-        if told is not None and all(counts[n] + self._received(n) >= c for n, c in zip(*told)):
-            have = [*self.chunks.get(), *new]
-            self._clear()
-            self.closed.update((True,))
-            yield self.emit(key, have, "committed")
-            return
-        for chunk in new:
-            self.chunks.appendValue(chunk)
-        for name, n in counts.items():
-            self.counts.updateValue((name,), (n + self._received(name),))
-        yield self.emit(key, [], "")
-
-    def _received(self, name: str) -> int:
-        return self.counts.getValue((name,))[0] if self.counts.containsKey((name,)) else 0
-
-    def _clear(self) -> None:
-        for state in (self.chunks, self.counts, self.told):
-            state.clear()
+        elif done:
+            yield self.emit(key, [*(self.chunks.get() if head is not None else []), *new], "committed")
+            if head is not None:
+                self.chunks.clear()
+        else:
+            for chunk in new:
+                self.chunks.appendValue(chunk)
+            yield self.emit(key, [], "")
+        if closed or done:
+            self.head.update((newest, True, False, [], [], [], []))
+        else:
+            self.head.update((newest, False, told, list(names), list(declared), list(counts), list(counts.values())))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        have = [] if self.closed.exists() else list(self.chunks.get())
-        self._clear()
-        self.last.clear()
-        self.closed.clear()
+        have = [] if self.head.get()[1] else list(self.chunks.get())
+        self.chunks.clear()
+        self.head.clear()
         yield self.emit(key, have, "expired")
 
     @staticmethod
