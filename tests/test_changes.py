@@ -203,3 +203,13 @@ def test_entry_without_the_corpus_package(monkeypatch):
     assert "replay_orders" in again.queries() and not any(n.startswith("op1_") or n == "pipeline" for n in again.queries())
     monkeypatch.undo()
     importlib.reload(__spark_entry__)
+
+
+def test_small_inputs_are_spread_and_large_ones_stay(spark):
+    cores = spark.sparkContext.defaultParallelism
+    one = spark.range(0, 1000, 1, 1)
+    assert E.spread(one).rdd.getNumPartitions() == cores
+    assert sorted(r.id for r in E.spread(one).collect()) == list(range(1000))
+    assert E.spread(one.limit(0)).count() == 0
+    many = spark.range(0, 1000, 1, cores)
+    assert E.spread(many) is many

@@ -53,7 +53,7 @@ def read(spark: SparkSession, sf: str, name: str) -> DataFrame:
 
 
 def snapshot(spark: SparkSession, sf: str, name: str) -> tuple[DataFrame, T.StructType]:
-    df = read(spark, sf, name)
+    df = E.spread(read(spark, sf, name))
     log = E.encode_changes(df, F.lit("r"), name, None, E.image(df.schema), F.lit(1))
     return E.decode_changes(log), df.schema
 

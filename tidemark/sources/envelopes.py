@@ -70,6 +70,15 @@ def read_stream(spark: SparkSession, config: Config, kind: str = ROWS) -> DataFr
     return read_kafka(spark, config, kind).select("topic", "value")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Rows of a batch dealt over all cores, if it has fewer partitions than there are cores; else df as it is, without a shuffle.
+
+    For small inputs of one file or row group, before costly work on each row. An input of more partitions is never moved.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def _not_empty(df: DataFrame) -> DataFrame:
     """Without tombstones: null or empty values."""
     return df.where("value IS NOT NULL AND octet_length(value) > 0")
