@@ -63,6 +63,33 @@ def test_live_transactions_do_not_expire_and_late_rows_are_told(spark, tmp_path)
     assert not [r for r in got if r.outcome == "expired"]
 
 
+def test_transactions_share_the_keys_of_the_state(spark, tmp_path, monkeypatch):
+    """Many transactions in two buckets: each commits, expires or is late by itself, and state keys don't grow with them."""
+    monkeypatch.setattr(Z, "BUCKETS", 2)
+    ids = [f"t{i}" for i in range(300)]
+    parts = [
+        [(t, "ROW", 10 + k, "a", k, k, f"{t}:{k}", none) for t in ids for k in (3, 2)],
+        [(t, "ROW", 20, "a", 1, 1, f"{t}:1", none) for t in ids[100:]] + [(t, "END", 20, none, none, none, none, [("shop.a", 3)]) for t in ids[200:]],
+        [(t, "ROW", 1014, "a", 1, 1, f"{t}:1", none) for t in ids[50:100]] + [("t250", "ROW", 900, "a", 4, 4, "t250:4", none)],
+        [("t250", "ROW", 1800, "a", 5, 5, "t250:5", none)],
+    ]
+    runs = []
+    for part in parts:
+        spark.createDataFrame(part, Z.ITEM).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+        stream = spark.readStream.schema(Z.ITEM).parquet(f"{tmp_path}/in")
+        runs.append(Z.assemble_keyed(stream, 1000).writeStream.format("parquet").option("checkpointLocation", f"{tmp_path}/c").trigger(availableNow=True).start(f"{tmp_path}/out"))
+        Z.finish(runs[-1], 120)
+    got = spark.read.schema(Z.OUT).parquet(f"{tmp_path}/out").collect()
+    of = lambda outcome: [r.body for r in got if r.outcome == outcome]
+    ended = of("committed")
+    assert sorted(ended) == sorted(f"{t}:{k}" for t in ids[200:] for k in (1, 2, 3))
+    assert all([b for b in ended if b.startswith(f"{t}:")] == [f"{t}:1", f"{t}:2", f"{t}:3"] for t in ids[200:])
+    # last events at 13 and 20 are older than the timeout by the clock's 1014 to 1800, those at 1014 are not
+    assert sorted(of("expired")) == sorted([f"{t}:{k}" for t in ids[:50] for k in (2, 3)] + [f"{t}:{k}" for t in ids[100:200] for k in (1, 2, 3)])
+    assert of("late") == ["t250:4", "t250:5"]
+    assert max(p["stateOperators"][0]["numRowsTotal"] for r in runs for p in r.recentProgress) < 20
+
+
 @pytest.mark.parametrize("n", [1, 3, 9, 16])
 def test_rows_of_many_files(spark, tmp_path, n):
     parts = [[("t5", "ROW", 10 + i, "a", n - i, n - i, str(n - i), none)] for i in range(n)]

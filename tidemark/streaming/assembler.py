@@ -7,7 +7,8 @@ has come and every declared table is complete, in whatever order rows, BEGIN and
 
 from __future__ import annotations
 
-from collections import Counter
+import json
+import pickle
 from collections.abc import Iterator
 
 import pandas as pd
@@ -76,9 +77,18 @@ def finish(query: StreamingQuery, wait_s: int) -> None:
 OUT = "tx_id string, outcome string, table string, ts_ms bigint, total_order bigint, data_collection_order bigint, body string"
 
 
+#: Transactions are dealt over as many keys of the state by a hash of their id; fixed for the life of a checkpoint.
+BUCKETS = 8192
+IN = ["tx_id", "kind", "ts_ms", "table", "total_order", "data_collection_order", "body"]
+CHUNK = 10_000
+
+
 class TransactionProcessor(StatefulProcessor):
-    """Keyed state: chunks of waiting rows, and one value with the newest event time, whether the transaction has
-    committed, what END declared, and the rows received by table.
+    """Keyed state, one key for a bucket of transactions, as each key and state call costs more than many rows do.
+
+    State: a value with each transaction's head, and chunks of waiting rows, which are added to and written anew only
+    when some of them leave. A head is [newest event time, closed, declared by END or None, received by table, rows in chunks].
+    The one timer of a bucket is that of its transaction longest without an event.
 
     Outcomes: committed, in the order of total_order; expired, when no event came for the timeout; late, for rows
     that come within the timeout after their transaction committed. Repeated BEGIN and END change nothing.
@@ -89,55 +99,94 @@ class TransactionProcessor(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.chunks = handle.getListState("chunks", "tables array<string>, times array<bigint>, totals array<bigint>, orders array<bigint>, bodies array<string>")
-        self.head = handle.getValueState("head", "newest bigint, closed boolean, told boolean, names array<string>, declared array<bigint>, tables array<string>, received array<bigint>")
+        self.chunks = handle.getListState("chunks", "rows binary")
+        self.heads = handle.getValueState("heads", "timer bigint, heads binary")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        head = self.head.get()
-        newest, closed, told, names, declared, tables, received = head if head is not None else (0, False, False, [], [], [], [])
-        before, counts, new = newest, Counter(dict(zip(tables, received))), []
+        timer, heads = self.load()
+        new: dict = {}
         for pdf in rows:
-            newest = max(newest, int(pdf["ts_ms"].max()))
-            here = pdf[pdf["kind"] == "ROW"]
-            if len(here):
-                numbers = [here[c].fillna(0).astype("int64").tolist() for c in ("ts_ms", "total_order", "data_collection_order")]
-                new.append((here["table"].tolist(), *numbers, here["body"].tolist()))
-                counts.update(new[-1][0])
-            for c in pdf.loc[pdf["kind"] == "END", "data_collections"]:
-                c = c if c is not None else []
-                told, names, declared = True, [x["data_collection"].rpartition(".")[2] for x in c], [int(x["event_count"]) for x in c]
-        # one timer at a time: that of the newest event
-        if head is None or newest > before:
-            if head is not None:
-                self.handle.deleteTimer(before + self.timeout_ms + 1)
-            self.handle.registerTimer(newest + self.timeout_ms + 1)
-        done = not closed and told and all(counts[n] >= c for n, c in zip(names, declared))
-        if closed:
-            yield self.emit(key, new, "late")
-        elif done:
-            yield self.emit(key, [*(self.chunks.get() if head is not None else []), *new], "committed")
-            if head is not None:
-                self.chunks.clear()
-        else:
-            for chunk in new:
-                self.chunks.appendValue(chunk)
-            yield self.emit(key, [], "")
-        if closed or done:
-            self.head.update((newest, True, False, [], [], [], []))
-        else:
-            self.head.update((newest, False, told, list(names), list(declared), list(counts), list(counts.values())))
+            for tx, kind, ts, table, total, order, body in zip(*[pdf[c].tolist() for c in IN]):
+                head = heads.setdefault(tx, [0, False, None, {}, 0])
+                head[0] = max(head[0], ts)
+                here = new.setdefault(tx, [])
+                if kind == "ROW":
+                    here.append((tx, table, ts, total, order, body))
+                    if not head[1]:
+                        head[3][table] = head[3].get(table, 0) + 1
+                elif kind == "END" and not head[1]:
+                    head[2] = {}
+                    for c in json.loads(body or "[]"):
+                        name = c.get("data_collection", "").rpartition(".")[2]
+                        head[2][name] = max(head[2].get(name, 0), c.get("event_count", 0))
+        late, done, wait = {}, {}, []
+        for tx, here in new.items():
+            head = heads[tx]
+            if head[1]:
+                late[tx] = here
+            elif head[2] is not None and all(head[3].get(n, 0) >= c for n, c in head[2].items()):
+                done[tx] = here
+            else:
+                head[4] += len(here)
+                wait += here
+        self.take({tx: here for tx, here in done.items() if heads[tx][4]})
+        self.append(wait)
+        for tx in done:
+            heads[tx] = [heads[tx][0], True, None, {}, 0]
+        self.save(timer, heads)
+        yield from self.emit(late, "late")
+        yield from self.emit(done, "committed")
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        have = [] if self.head.get()[1] else list(self.chunks.get())
+        timer, heads = self.load()
+        old = {tx: [] for tx, head in heads.items() if timerValues.getCurrentWatermarkInMs() - head[0] > self.timeout_ms}
+        self.take({tx: here for tx, here in old.items() if heads[tx][4]})
+        for tx in old:
+            del heads[tx]
+        self.save(None if timer == expiredTimerInfo.getExpiryTimeInMs() else timer, heads)
+        yield from self.emit(old, "expired")
+
+    def load(self) -> tuple[int | None, dict]:
+        got = self.heads.get()
+        return (None, {}) if got is None else (got[0], pickle.loads(got[1]))
+
+    def save(self, timer: int | None, heads: dict) -> None:
+        """timer: the one that is set, if any."""
+        due = min(head[0] for head in heads.values()) + self.timeout_ms + 1 if heads else None
+        if due != timer:
+            if timer is not None:
+                self.handle.deleteTimer(timer)
+            if due is not None:
+                self.handle.registerTimer(due)
+        if heads:
+            self.heads.update((due, pickle.dumps(heads)))
+        else:
+            self.heads.clear()
+
+    def take(self, wanted: dict) -> None:
+        """Moves the waiting rows of these transactions before those that they hold; the other rows stay."""
+        if not wanted:
+            return
+        found, kept = {tx: [] for tx in wanted}, []
+        for chunk in self.chunks.get():
+            for row in pickle.loads(chunk[0]):
+                found.get(row[0], kept).append(row)
+        for tx, here in wanted.items():
+            here[:0] = found[tx]
         self.chunks.clear()
-        self.head.clear()
-        yield self.emit(key, have, "expired")
+        self.append(kept)
+
+    def append(self, rows: list) -> None:
+        for i in range(0, len(rows), CHUNK):
+            self.chunks.appendValue((pickle.dumps(rows[i : i + CHUNK]),))
 
     @staticmethod
-    def emit(key, chunks, outcome: str) -> pd.DataFrame:
-        table, ts, total, order, body = ([x for c in chunks for x in c[i]] for i in range(5))
-        out = pd.DataFrame({"tx_id": pd.Series([key[0]] * len(table), dtype=object), "outcome": pd.Series([outcome] * len(table), dtype=object), "table": pd.Series(table, dtype=object), "ts_ms": pd.Series(ts, dtype="int64"), "total_order": pd.Series(total, dtype="int64"), "data_collection_order": pd.Series(order, dtype="int64"), "body": pd.Series(body, dtype=object)})
-        return out.sort_values(["total_order", "data_collection_order"], kind="stable")
+    def emit(found: dict, outcome: str) -> Iterator[pd.DataFrame]:
+        rows = [row for here in found.values() for row in sorted(here, key=lambda row: row[3:5])]
+        for i in range(0, len(rows), CHUNK):
+            out = pd.DataFrame(rows[i : i + CHUNK], columns=["tx_id", "table", "ts_ms", "total_order", "data_collection_order", "body"])
+            out.insert(1, "outcome", outcome)
+            yield out
 
     def close(self) -> None:
         pass
@@ -146,11 +195,13 @@ class TransactionProcessor(StatefulProcessor):
 def assemble_keyed(stream: DataFrame, timeout_ms: int) -> DataFrame:
     """The keyed form, columns of OUT; sets the RocksDB state store, which it needs, for the session's next streams."""
     stream.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
-    # Spark drops rows behind the watermark: items have no event time, and small rows beside them carry the clock
-    clock = F.when(F.col("ts_ms") > 0, F.array(F.lit(None), F.timestamp_millis("ts_ms"))).otherwise(F.array(F.lit(None).cast("timestamp")))
-    stream = stream.withColumn("at", F.explode(clock)).withColumn("kind", F.when(F.col("at").isNull(), F.col("kind")).otherwise("CLOCK"))
-    stream = stream.withColumns({c: F.when(F.col("at").isNull(), F.col(c)) for c in ("body", "data_collections")}).withWatermark("at", "0 seconds")
-    return stream.groupBy("tx_id").transformWithStateInPandas(TransactionProcessor(timeout_ms), OUT, "Append", "EventTime")
+    # Spark drops rows behind the watermark where it sees their event time: `at` moves it and goes before the state
+    stream = stream.withColumn("at", F.when(F.col("ts_ms") > 0, F.timestamp_millis("ts_ms"))).withWatermark("at", "0 seconds")
+    bucket = F.pmod(F.xxhash64("tx_id"), F.lit(BUCKETS)).cast("int").alias("bucket")
+    body = F.when(F.col("kind") == "END", F.to_json("data_collections")).otherwise(F.col("body")).alias("body")
+    number = lambda c: F.coalesce(c, F.lit(0).cast("long")).alias(c)
+    items = stream.select(bucket, "tx_id", "kind", number("ts_ms"), "table", number("total_order"), number("data_collection_order"), body)
+    return items.groupBy("bucket").transformWithStateInPandas(TransactionProcessor(timeout_ms), OUT, "Append", "EventTime")
 
 
 class Service:
