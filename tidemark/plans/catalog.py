@@ -541,19 +541,19 @@ def metric_total_latency(spark, sf):
 
 
 def _keyed(spark: SparkSession, parts: list[DataFrame], timeout_ms: int) -> DataFrame:
-    """assemble_keyed over a folder of one file for each part."""
+    """assemble_keyed over a folder of files: the stream takes what is there after each part is written."""
     path = fresh(spark)
     for part in parts:
-        part.coalesce(1).write.mode("append").parquet(f"{path}/in")
-    stream = spark.readStream.schema(Z.ITEM).option("maxFilesPerTrigger", 1).parquet(f"{path}/in")
-    run = Z.assemble_keyed(stream, timeout_ms).writeStream.format("parquet").option("checkpointLocation", f"{path}/checkpoint").trigger(availableNow=True).start(f"{path}/out")
-    Z.finish(run, 1800)
+        part.write.mode("append").parquet(f"{path}/in")
+        stream = spark.readStream.schema(Z.ITEM).parquet(f"{path}/in")
+        run = Z.assemble_keyed(stream, timeout_ms).writeStream.format("parquet").option("checkpointLocation", f"{path}/checkpoint").trigger(availableNow=True).start(f"{path}/out")
+        Z.finish(run, 1800)
     return spark.read.schema(Z.OUT).parquet(f"{path}/out")
 
 
 @query("stream_tx_keyed", ORACLES["tx_committed_rows"])
 def stream_tx_keyed(spark, sf):
-    """Rows in two files, in no order of transactions; BEGIN and END come with the first."""
+    """Rows in two parts, in no order of transactions; BEGIN and END come with the first."""
     rows, told = tx_log(spark, sf, "l_linenumber <> 3")
     parts = [Z.items(rows.where("total_order % 2 = 0"), told), Z.items(rows.where("total_order % 2 = 1"), told.where("false"))]
     return _keyed(spark, parts, 10**12).where("outcome = 'committed'").select("tx_id", "total_order", F.col("body").cast("int").alias("l_linenumber"))
