@@ -2,18 +2,22 @@
 
 from __future__ import annotations
 
+import glob
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
 
 from tidemark.config import Config
 from tidemark.functions.schema import Registry, SchemaError
+from tidemark.plans import catalog
 from tidemark.sources import envelopes as E
 from tidemark.streaming import assembler as Z
 from tidemark.streaming.ingest import Ingestion, service
 
 none = None
+SF = os.environ.get("TIDEMARK_SF", "/root/testdata/sf0.001")
 
 
 def keyed(spark, tmp_path, parts, timeout):
@@ -172,3 +176,16 @@ def test_sinks_and_keys_are_checked_first(spark, registry):
     for keys, unique in ((("id",), False), ((), True), (("no",), True)):
         with pytest.raises(SchemaError):
             registry.put("shop", "c", row, keys, unique)
+
+
+@pytest.mark.parametrize("name, folder, parts", [("stream_tx_assembly", "in", 3), ("stream_tx_keyed", "in", 2)])
+def test_no_task_writes_a_whole_part(spark, tmp_path, monkeypatch, name, folder, parts):
+    if not os.path.isdir(SF):
+        pytest.skip("no test tables")
+    monkeypatch.setattr(catalog, "fresh", lambda spark: f"{tmp_path}/x")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # small results would be put into one file
+    try:
+        catalog.QUERIES[name](spark, SF)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert len(glob.glob(f"{tmp_path}/x/{folder}/*.parquet")) >= 4 * parts

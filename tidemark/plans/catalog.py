@@ -486,14 +486,14 @@ def parquet_sink_roundtrip(spark, sf):
 
 @query("stream_tx_assembly", ORACLES["tx_committed_rows"])
 def stream_tx_assembly(spark, sf):
-    """Rows in three files, in no order of transactions; BEGIN and END come with the second."""
+    """Rows in three parts of many files, in no order of transactions; BEGIN and END come with the second. Each part is one batch."""
     path = fresh(spark)
     rows, told = tx_log(spark, sf, "l_linenumber <> 3")
     parts = [rows.where("total_order % 3 = 0"), rows.where("total_order % 3 = 1"), rows.where("total_order % 3 = 2")]
     for k, part in enumerate(parts):
-        Z.items(part, told if k == 1 else told.where("false")).coalesce(1).write.mode("append").parquet(f"{path}/in")
-    stream = spark.readStream.schema(Z.ITEM).option("maxFilesPerTrigger", 1).parquet(f"{path}/in")
-    return Z.assemble(stream, f"{path}/out", timeout_ms=None).select("tx_id", "total_order", F.col("body").cast("int").alias("l_linenumber"))
+        Z.items(part, told if k == 1 else told.where("false")).write.mode("append").parquet(f"{path}/in")
+        done = Z.assemble(spark.readStream.schema(Z.ITEM).parquet(f"{path}/in"), f"{path}/out", timeout_ms=None)
+    return done.select("tx_id", "total_order", F.col("body").cast("int").alias("l_linenumber"))
 
 
 @query("stream_replay_orders", REPLAYED)
