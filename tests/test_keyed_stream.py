@@ -155,6 +155,13 @@ def test_ingestion_writes_tables_dead_letters_and_metrics(spark, tmp_path, regis
     assert {r.step for r in job.progress.latencies(spark).collect()} >= {"addBatch", "triggerExecution"}
 
 
+def test_messages_are_decoded_once_for_rows_outside_transactions(spark, tmp_path, registry):
+    config = Config(csv_path=f"{tmp_path}/out", topic_prefix="tide", capture_database="shop", source_path=str(tmp_path))
+    messages(spark, tmp_path, 0)
+    plan = Ingestion(spark, config, registry).outcomes()._jdf.queryExecution().analyzed().toString()
+    assert plan.count("StreamingRelation") == 3  # rows in transactions, metadata, all other rows
+
+
 def test_service_starts_once_and_stops(spark, tmp_path, registry):
     messages(spark, tmp_path, 0)
     config = Config(csv_path=f"{tmp_path}/out", topic_prefix="tide", capture_database="shop", source_path=str(tmp_path), flush_interval_ms=200)

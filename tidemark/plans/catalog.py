@@ -581,12 +581,12 @@ def stream_end_to_end(spark, sf):
     tx_rows = tx_rows.union(E.encode_changes(gone, F.lit("d"), "orders", E.image(row), None, F.lit(3), F.col("tx"), F.col("o_orderkey")))
     junk = df.select(F.lit("tide.shop.orders").alias("topic"), F.when(F.col("o_orderkey") % 2 == 0, F.lit(b"{broken")).cast("binary").alias("value")).limit(20)
     for part in (tx_rows, log.union(junk)):  # changes before what they change
-        part.coalesce(2).write.mode("append").parquet(f"{path}/{E.ROWS}")
+        part.write.mode("append").parquet(f"{path}/{E.ROWS}")
     each = changed.select("tx").union(gone.select("tx")).groupBy("tx").agg(F.count("*").alias("n"))
     told = F.array(F.struct(F.lit("shop.orders").alias("data_collection"), F.col("n").alias("event_count")))
     one = lambda status, c: F.struct(F.lit(status).alias("status"), F.col("tx").alias("id"), F.col("n").alias("event_count"), F.lit(3).alias("ts_ms"), c.alias("data_collections"))
     sent = each.select(F.explode(F.array(one("BEGIN", F.lit(None).cast("array<struct<data_collection:string,event_count:bigint>>")), one("END", told))).alias("m"))
-    sent.select(F.lit("tide.transaction").alias("topic"), F.to_json(F.struct(F.col("m").alias("payload"))).cast("binary").alias("value")).coalesce(1).write.parquet(f"{path}/{E.TRANSACTIONS}")
+    sent.select(F.lit("tide.transaction").alias("topic"), F.to_json(F.struct(F.col("m").alias("payload"))).cast("binary").alias("value")).write.parquet(f"{path}/{E.TRANSACTIONS}")
     known = Registry()
     known.put("shop", "orders", row, ("o_orderkey",))
     config = Config(sink_mode="table", csv_path=f"{path}/out", topic_prefix="tide", capture_database="shop", include_tables=("orders",), source_path=path)

@@ -61,10 +61,11 @@ class Ingestion:
         good = rows.where("error IS NULL")
         columns = ["tx_id", "outcome", "table", "ts_ms", "total_order", "data_collection_order", "body"]
         held = Z.assemble_keyed(Z.items(good.where(R.transactional(tx)), self.metadata()), self.config.transaction_timeout)
-        free = good.where(~R.transactional(tx)).withColumn("outcome", F.lit("committed")).select(*columns)
         told = F.to_json(F.struct("error.message", F.base64("error.original_data").alias("original_data")))
-        bad = rows.where("error IS NOT NULL").withColumns({"outcome": F.lit("unreadable"), "body": told}).select(*columns)
-        return held.select(*columns).unionByName(free).unionByName(bad)
+        fine = F.col("error").isNull()
+        # one branch for both, as each branch of the stream reads and decodes its messages anew
+        rest = rows.where(~fine | ~R.transactional(tx)).withColumns({"outcome": F.when(fine, "committed").otherwise("unreadable"), "body": F.when(fine, F.col("body")).otherwise(told)})
+        return held.select(*columns).unionByName(rest.select(*columns))
 
     def typed(self, rows: DataFrame, database: str, table: str) -> DataFrame:
         """Committed rows of one table as typed events, with `order` to apply them by."""
