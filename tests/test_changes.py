@@ -17,6 +17,7 @@ from tidemark import config
 from tidemark.functions import schema as H
 from tidemark.functions import values as V
 from tidemark.operators import apply as A
+from tidemark.operators import metrics as M
 from tidemark.operators import sinks as S
 from tidemark.operators import transactions as X
 from tidemark.sources import envelopes as E
@@ -213,3 +214,17 @@ def test_small_inputs_are_spread_and_large_ones_stay(spark):
     assert E.spread(one.limit(0)).count() == 0
     many = spark.range(0, 1000, 1, cores)
     assert E.spread(many) is many
+
+
+@pytest.mark.parametrize("per_range", [7, 1000])
+def test_exact_quantiles_need_no_task_with_a_whole_group(spark, per_range):
+    """As F.percentile has them: ties, nulls, groups of one, two or only null values, null keys, -0.0, infinite values and NaN."""
+    rows = [("a", None, float(i * 37 % 101)) for i in range(300)] + [("a", "x", None)] * 3 + [("b", "x", 5.0), ("c", None, -0.5), ("c", None, 2.0), (None, None, 1.0), (None, None, None)]
+    rows += [("d", "x", v) for v in (float("inf"), float("inf"), 1.0, -0.0, 0.0)] + [("e", "x", v) for v in (float("nan"), 1.0, 2.0)]
+    df = spark.createDataFrame(rows, "k string, o string, v double")
+    want = df.groupBy("k", "o").agg(*[F.percentile("v", q).alias(f"p{round(100 * q)}") for q in M.QUANTILES])
+    got = M.percentiles(df, "v", ["k", "o"], per_range)
+    assert got.columns == want.columns
+    assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect()))
+    plan = M.latency(df, "v", ["k"], exact=True)._jdf.queryExecution().optimizedPlan().toString()
+    assert "percentile(" not in plan
